@@ -20,19 +20,24 @@ _MASKED = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 _PROBE = "attributes-end"
 _ATTRIBUTE_MAP = T.StructType([T.StructField("t", T.MapType(T.StringType(), T.StringType()))])
 
+STATEMENT_FILES = "*.xml"
+
 # Directories in order, then names without regard to case, as a sorted folder listing.
 FILE_ORDER = "concat_ws('\\u0001', lower(regexp_replace(file, '/[^/]*$', '')), lower(file), file)"
 
 
 def read_tag_text(
-    spark: SparkSession, paths: str | list[str], whole_files: bool = False
+    spark: SparkSession,
+    paths: str | list[str],
+    whole_files: bool = False,
+    pattern: str = STATEMENT_FILES,
 ) -> DataFrame:
     """Rows of (file, text), one per tag.
 
     ``whole_files`` reads each file as one value and drops comments and CDATA
     first: the exact way for files whose comments hold markup.
     """
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml")
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     if not whole_files:
         return reader.text(paths, lineSep="<").select(
             F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
@@ -44,13 +49,18 @@ def read_tag_text(
     )
 
 
-def stream_tag_text(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+def stream_tag_text(
+    spark: SparkSession,
+    folder: str,
+    max_files: int | None = None,
+    pattern: str = STATEMENT_FILES,
+) -> DataFrame:
     """The same rows from a folder that keeps receiving files."""
     reader = (
         spark.readStream.format("text")
         .option("lineSep", "<")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.xml")
+        .option("pathGlobFilter", pattern)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -99,6 +99,15 @@ BARS_HISTORY = "symbol reportDate open high low close adjClose volume source"
 
 # --- End of fixed values -----------------------------------------------------------
 
+_TYPES = {
+    "string": T.StringType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "boolean": T.BooleanType(),
+}
+
 
 @dataclass(frozen=True)
 class Mart:
@@ -149,7 +158,8 @@ class SourceSpec:
 
     @property
     def columns(self) -> T.StructType:
-        return T.StructType.fromDDL(self.ddl)
+        pairs = (column.split() for column in self.ddl.split(","))
+        return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
     @property
     def schema(self) -> T.StructType:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from statement_lake.functions.fingerprint import fingerprint
 from statement_lake.functions.typed import STRICT_TYPES, has_text, is_bad, typed
 from statement_lake.session import settle
-from statement_lake.sources.elements import FILE_ORDER, read_tag_text, split_tags
+from statement_lake.sources.elements import FILE_ORDER, STATEMENT_FILES, read_tag_text, split_tags
 from statement_lake.sources.specs import SourceSpec
 
 
@@ -139,8 +139,8 @@ def ingest(
     strict: bool = True,
     accept_compact: bool = False,
     whole_files: bool = False,
+    pattern: str = STATEMENT_FILES,
 ) -> Ingested:
     """Ingest every statement file under ``paths``."""
-    return ingest_tags(
-        read_tag_text(spark, paths, whole_files), spec, strict=strict, accept_compact=accept_compact
-    )
+    tags = read_tag_text(spark, paths, whole_files, pattern)
+    return ingest_tags(tags, spec, strict=strict, accept_compact=accept_compact)
