@@ -19,7 +19,7 @@ def fingerprint(attributes: Column) -> Column:
     return F.sha2(F.array_join(pairs, "|"), 256)
 
 
-def present(**columns: Column) -> Column:
-    """String map of the given columns, leaving out the NULL ones."""
-    pairs = [part for name, value in columns.items() for part in (F.lit(name), value)]
-    return F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+def fingerprint_of(**columns: Column) -> Column:
+    """The same fingerprint where the attributes are known columns; NULL means absent."""
+    pairs = [F.concat(F.lit(f"{name}="), columns[name]) for name in sorted(columns)]
+    return F.sha2(F.concat_ws("|", *pairs), 256)

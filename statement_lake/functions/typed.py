@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _BLANKS = " \t\n\r\f\u000b"
+_PLAIN_NUMBER = r"^[+-]?\d+(?:\.\d+)?$"
 _NUMBER = (
     r"^[+-]?(?:\d+(?:_\d+)*(?:\.(?:\d+(?:_\d+)*)?)?|\.\d+(?:_\d+)*)"
     r"(?:[eE][+-]?\d+(?:_\d+)*)?$"
@@ -23,90 +24,89 @@ def has_text(raw: Column) -> Column:
     return F.coalesce(raw != "", F.lit(False))
 
 
-def _stripped(raw: Column) -> Column:
-    return F.btrim(raw, F.lit(_BLANKS))
+def value_text(raw: Column) -> Column:
+    """Stripped text of a value; absent and empty become NULL, blank stays as empty text."""
+    return F.btrim(F.nullif(raw, F.lit("")), F.lit(_BLANKS))
 
 
-def to_date(raw: Column) -> Column:
+def _dashed(text: Column) -> Column:
+    return F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2))
+
+
+def _clock(text: Column, start: int) -> Column:
+    parts = [text.substr(start + offset, 2) for offset in (0, 2, 4)]
+    return F.concat(F.lit(" "), F.concat_ws(":", *parts))
+
+
+def date_of(text: Column) -> Column:
     """``yyyyMMdd`` or ``yyyy-M-d``."""
-    text = _stripped(raw)
-    iso = F.when(
-        text.rlike(r"^\d{8}$"), F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    ).when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text)
-    return F.when(~iso.startswith("0000"), iso.try_cast("date"))
+    iso = F.when(text.rlike(r"^\d{8}$"), _dashed(text)).when(
+        text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text
+    )
+    return F.when(~text.startswith("0000"), iso.try_cast("date"))
 
 
-def to_timestamp(raw: Column, accept_compact: bool = False) -> Column:
+def timestamp_of(text: Column, accept_compact: bool = False) -> Column:
     """``yyyyMMddHHmmss``, ``yyyyMMdd`` or ``yyyy-M-d H:m:s`` with a blank, ``;`` or ``T`` between.
 
     ``accept_compact`` also takes ``yyyyMMdd;HHmmss``.
     """
-    text = F.replace(_stripped(raw), F.lit(";"), F.lit(" "))
     iso = (
-        F.when(
-            text.rlike(r"^\d{14}$"),
-            F.regexp_replace(
-                text, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6"
-            ),
-        )
-        .when(
-            text.rlike(r"^\d{8}$"),
-            F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3 00:00:00"),
-        )
+        F.when(text.rlike(r"^\d{14}$"), F.concat(_dashed(text), _clock(text, 9)))
+        .when(text.rlike(r"^\d{8}$"), F.concat(_dashed(text), F.lit(" 00:00:00")))
         .when(
-            text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:\s+|[Tt])\d{1,2}:\d{1,2}:\d{1,2}$"),
-            F.regexp_replace(text, r"\s+|[Tt]", " "),
+            text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}(?:[\s;]+|[Tt])\d{1,2}:\d{1,2}:\d{1,2}$"),
+            F.regexp_replace(text, r"[\s;]+|[Tt]", " "),
         )
     )
     if accept_compact:
         iso = iso.when(
-            text.rlike(r"^\d{8} \d{6}$"),
-            F.regexp_replace(
-                text, r"^(\d{4})(\d{2})(\d{2}) (\d{2})(\d{2})(\d{2})$", "$1-$2-$3 $4:$5:$6"
-            ),
+            text.rlike(r"^\d{8}[ ;]\d{6}$"), F.concat(_dashed(text), _clock(text, 10))
         )
-    return F.when(~iso.startswith("0000"), iso.try_cast("timestamp_ntz"))
+    return F.when(~text.startswith("0000"), iso.try_cast("timestamp_ntz"))
 
 
-def to_double(raw: Column) -> Column:
+def double_of(text: Column) -> Column:
     """Float text with optional thousands commas; ``nan`` and ``inf`` are values."""
-    text = _stripped(F.replace(raw, F.lit(","), F.lit("")))
+    digits = F.btrim(F.replace(text, F.lit(","), F.lit("")), F.lit(_BLANKS))
     return (
-        F.when(text.rlike(r"(?i)^[+-]?nan$"), F.lit(float("nan")))
-        .when(text.rlike(r"(?i)^[+-]?inf(?:inity)?$"), text.try_cast("double"))
-        .when(text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+        F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
+        .when(digits.rlike(_NUMBER), F.replace(digits, F.lit("_"), F.lit("")).try_cast("double"))
+        .when(digits.rlike(r"(?i)^[+-]?nan$"), F.lit(float("nan")))
+        .when(digits.rlike(r"(?i)^[+-]?inf(?:inity)?$"), digits.try_cast("double"))
     )
 
 
-def to_long(raw: Column) -> Column:
+def long_of(text: Column) -> Column:
     """Whole number; anything else is NULL and never reported."""
-    text = _stripped(raw)
     return F.when(
         text.rlike(r"^[+-]?\d+(?:_\d+)*$"),
         F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"),
     )
 
 
-def to_flag(raw: Column) -> Column:
-    letter = F.upper(_stripped(raw))
+def flag_of(text: Column) -> Column:
+    letter = F.upper(text)
     return F.when(letter == "Y", F.lit(True)).when(letter == "N", F.lit(False))
 
 
 _READERS = {
-    "string": lambda raw, compact: raw,
-    "date": lambda raw, compact: to_date(raw),
-    "timestamp_ntz": to_timestamp,
-    "double": lambda raw, compact: to_double(raw),
-    "bigint": lambda raw, compact: to_long(raw),
-    "boolean": lambda raw, compact: to_flag(raw),
+    "date": date_of,
+    "timestamp_ntz": timestamp_of,
+    "double": double_of,
+    "bigint": long_of,
+    "boolean": flag_of,
 }
 STRICT_TYPES = ("date", "timestamp_ntz", "double")
 
 
-def typed(raw: Column, type_name: str, accept_compact: bool = False) -> Column:
-    return _READERS[type_name](raw, accept_compact)
+def typed(text: Column, type_name: str, accept_compact: bool = False) -> Column:
+    """Value of ``value_text``; attributes of type string are taken raw instead."""
+    if type_name == "timestamp_ntz":
+        return timestamp_of(text, accept_compact)
+    return _READERS[type_name](text)
 
 
-def is_bad(raw: Column, value: Column) -> Column:
+def is_bad(text: Column, value: Column) -> Column:
     """Text is there, but the strict parser could not read it."""
-    return has_text(raw) & value.isNull()
+    return text.isNotNull() & value.isNull()

@@ -89,21 +89,31 @@ def earliest_symbols(registry: DataFrame, key: str, ignore_blank: bool = False)
 
 
 def map_by(registry: DataFrame, key: str, ignore_blank: bool = False) -> DataFrame:
-    """Map open rows to the earliest symbol of the same ``key``, one hop."""
-    moves = settle(earliest_symbols(registry, key, ignore_blank), "moves")
-    columns = registry.columns
-    return (
-        registry.join(moves, [key, "symbol"], "left")
-        .withColumn("map_to", F.coalesce("map_to", "_root"))
-        .select(*columns)
-    )
+    """Map open rows to the earliest symbol of the same ``key``, one hop.
+
+    Only keys that have an open row are aggregated, so a load with few new
+    securities does little work on a large registry.
+    """
+    is_open = F.col("map_to").isNull()
+    open_rows = registry.where(is_open)
+    involved = registry.join(open_rows.select(key).distinct(), key, "left_semi")
+    moves = earliest_symbols(involved, key, ignore_blank)
+    mapped = open_rows.join(moves, [key, "symbol"], "left").withColumn("map_to", F.col("_root"))
+    return registry.where(~is_open).unionByName(mapped.select(*registry.columns))
 
 
 def resolve(registry: DataFrame, ignore_blank_description: bool = False) -> DataFrame:
-    """Fill ``map_to``: by contract id, then by description, then to the symbol itself."""
+    """Fill ``map_to``: by contract id, then by description, then to the symbol itself.
+
+    ``registry`` should be settled; it comes back as it is when nothing is open.
+    """
+    if registry.where(F.col("map_to").isNull()).isEmpty():
+        return registry
     by_conid = settle(map_by(registry, "conid"), "registry-conid")
     by_text = map_by(by_conid, "description", ignore_blank_description)
-    return by_text.withColumn("map_to", F.coalesce("map_to", "symbol"))
+    return settle(
+        by_text.withColumn("map_to", F.coalesce("map_to", "symbol")), "registry"
+    )
 
 
 def dictionary(registry: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statement_lake.functions.typed import is_bad, to_date, to_double, to_flag, to_long, to_timestamp
+from statement_lake.functions.typed import date_of, double_of, flag_of, is_bad, long_of, timestamp_of, value_text
 from statement_lake.operators import ledger as runs
 from statement_lake.operators import upsert
 from statement_lake.operators.obfuscate import distinct_symbols, obfuscate, symbol_codes
@@ -116,28 +116,33 @@ def _number_texts(spark: SparkSession, folder: str) -> DataFrame:
     return base.table(spark, folder, "orders").select("o_orderkey", raw.alias("raw"))
 
 
-def _checked(rows: DataFrame, value: Column, *more: Column) -> DataFrame:
-    return rows.select(
-        "o_orderkey", value.alias("value"), is_bad(F.col("raw"), value).alias("bad"), *more
+def _checked(rows: DataFrame, **values: Column) -> DataFrame:
+    """Parsed values of ``text``, and whether the first could not be read."""
+    first = next(iter(values.values()))
+    texts = rows.select("o_orderkey", value_text(F.col("raw")).alias("text"))
+    return texts.select(
+        "o_orderkey",
+        *[value.alias(name) for name, value in values.items()],
+        is_bad(F.col("text"), first).alias("bad"),
     )
 
 
 def parse_dates(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(_date_texts(spark, folder), to_date(F.col("raw")))
+    return _checked(_date_texts(spark, folder), value=date_of(F.col("text")))
 
 
 def parse_timestamps(spark: SparkSession, folder: str) -> DataFrame:
-    return _checked(_date_texts(spark, folder), to_timestamp(F.col("raw")))
+    return _checked(_date_texts(spark, folder), value=timestamp_of(F.col("text")))
 
 
 def parse_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    raw = F.col("raw")
-    return _checked(_number_texts(spark, folder), to_double(raw), to_long(raw).alias("whole"))
+    text = F.col("text")
+    return _checked(_number_texts(spark, folder), value=double_of(text), whole=long_of(text))
 
 
 def parse_flags(spark: SparkSession, folder: str) -> DataFrame:
     rows = _number_texts(spark, folder)
-    return rows.select("o_orderkey", to_flag(F.col("raw")).alias("value"))
+    return rows.select("o_orderkey", flag_of(value_text(F.col("raw"))).alias("value"))
 
 
 def admit_detail_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -312,10 +317,10 @@ def symbol_map_full(spark: SparkSession, folder: str) -> DataFrame:
     return resolve(settle(_found_trades(spark, folder), "registry"))
 
 
-def _folded(spark: SparkSession, folder: str, sources: dict[SourceSpec, DataFrame]) -> DataFrame:
+def _folded(spark: SparkSession, sources: dict[SourceSpec, DataFrame]) -> DataFrame:
     registry = spark.createDataFrame([], REGISTRY_SCHEMA)
     for spec, rows in sources.items():
-        registry = settle(extend_registry(registry, spec, rows), "registry")
+        registry = extend_registry(registry, spec, rows)
     return registry
 
 
@@ -323,7 +328,6 @@ def registry_fold(spark: SparkSession, folder: str) -> DataFrame:
     cash = base.cash_transactions(spark, folder).where(admits_detail(F.col("levelOfDetail")))
     return _folded(
         spark,
-        folder,
         {
             specs.TRADES: base.trades(spark, folder),
             specs.CORPORATE_ACTIONS: base.corporate_actions(spark, folder),
@@ -343,7 +347,6 @@ def symbol_dictionary(spark: SparkSession, folder: str) -> DataFrame:
 def _canonical(rows: DataFrame, spark: SparkSession, folder: str, columns: str) -> DataFrame:
     registry = _folded(
         spark,
-        folder,
         {
             specs.TRADES: base.trades(spark, folder),
             specs.POSITIONS: base.positions(spark, folder),
@@ -468,12 +471,10 @@ def manifest_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lake_trades_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Statement files of four sources through bronze, registry and marts."""
+    """Statement files of two sources through bronze, registry and marts."""
     rows = {
         specs.TRADES: base.trades(spark, folder),
-        specs.CORPORATE_ACTIONS: base.corporate_actions(spark, folder),
         specs.POSITIONS: base.positions(spark, folder),
-        specs.CASH_TRANSACTIONS: base.cash_transactions(spark, folder),
     }
     inputs = {spec.name: _statement_folder(spark, df, spec) for spec, df in rows.items()}
     root = scratch_path(spark, "lake")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statement_lake.functions.fingerprint import fingerprint, present
+from statement_lake.functions.fingerprint import fingerprint_of
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,8 +31,9 @@ def tagged(prefix: str, *parts: str) -> Column:
 
 def with_fingerprint(rows: DataFrame, column: str = "sourceHashHex") -> DataFrame:
     """Content hash over all columns as they are written to text."""
-    attributes = present(**{name: text(rows, name) for name in rows.columns})
-    return rows.withColumn(column, fingerprint(attributes))
+    return rows.withColumn(
+        column, fingerprint_of(**{name: text(rows, name) for name in rows.columns})
+    )
 
 
 def text(rows: DataFrame, name: str) -> Column:
@@ -179,24 +180,25 @@ def _escaped(value: Column) -> Column:
 
 def write_statements(rows: DataFrame, element: str, file: Column, folder: str) -> None:
     """Write records as statement files, one file per value of ``file``."""
-    attributes = F.concat_ws(
+    names = F.array(*[F.lit(name) for name in rows.columns])
+    texts = F.transform(F.array(*[text(rows, name) for name in rows.columns]), _escaped)
+    attributes = F.array_join(
+        F.zip_with(
+            names, texts, lambda name, value: F.concat(name, F.lit('="'), value, F.lit('"'))
+        ),
         " ",
-        *[
-            F.concat(F.lit(f'{name}="'), _escaped(text(rows, name)), F.lit('"'))
-            for name in rows.columns
-        ],
     )
     lines = rows.select(
         file.alias("file"),
         F.lit(1).alias("part"),
         F.concat(F.lit(f"<{element} "), attributes, F.lit("/>")).alias("value"),
     )
-    names = rows.select(file.alias("file")).distinct()
+    files = rows.select(file.alias("file")).distinct()
     opening = F.lit('<?xml version="1.0" encoding="UTF-8"?><FlexQueryResponse><FlexStatement>')
     closing = F.lit("</FlexStatement></FlexQueryResponse>")
     whole = lines.unionByName(
-        names.select("file", F.lit(0).alias("part"), opening.alias("value"))
-    ).unionByName(names.select("file", F.lit(2).alias("part"), closing.alias("value")))
+        files.select("file", F.lit(0).alias("part"), opening.alias("value"))
+    ).unionByName(files.select("file", F.lit(2).alias("part"), closing.alias("value")))
     (
         whole.repartition("file")
         .sortWithinPartitions("file", "part")

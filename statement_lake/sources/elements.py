@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TAG = (
-    r"""^([^\s/>!?=]+)((?:\s+[^\s=<>/]+\s*=\s*(?:"[^"]*"|'[^']*'))*+)\s*(/?)>"""
+    r"""(?s)^([^\s/>!?=]+)((?:\s+[^\s=<>/]+\s*=\s*(?:"[^"]*"|'[^']*'))*+)\s*(/?)>.*$"""
 )
+# U+0001 cannot occur in a document.
+_MARK = "\u0001"
+_PARTS = _MARK.join(("$1", "$2", "$3"))
 _CLOSING = r"^/([^\s>]+)\s*>"
+_MARKUP = r"(?s)^(?:\?.*\?>|!--.*-->|!\[CDATA\[.*\]\]>|!DOCTYPE[^\[]*>)"
 _MASKED = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 _PROBE = "attributes-end"
 _ATTRIBUTE_MAP = T.StructType([T.StructField("t", T.MapType(T.StringType(), T.StringType()))])
@@ -88,43 +92,31 @@ def split_tags(tag_text: DataFrame, element: str) -> DataFrame:
     tag that is cut off or cannot be read.
     """
     text = F.col("text")
-    is_record = text.rlike(rf"^{element}[\s/>]")
-    tags = tag_text.where(~text.rlike(r"^[\s\uFEFF]*$")).select(
+    # One match per tag: name, attribute text and the slash of an empty element.
+    shaped = tag_text.where(~text.rlike(r"^[\s\uFEFF]*$")).select(
         "file",
         "text",
-        is_record.alias("is_record"),
-        F.when(
-            text.rlike(_CLOSING),
-            F.struct(
-                F.regexp_extract(text, _CLOSING, 1).alias("tag"),
-                F.lit(-1).alias("step"),
-                F.lit(True).alias("whole"),
-            ),
-        )
-        .when(
-            text.rlike(_TAG),
-            F.struct(
-                F.regexp_extract(text, _TAG, 1).alias("tag"),
-                F.when(F.regexp_extract(text, _TAG, 3) == "/", F.lit(0)).otherwise(F.lit(1)).alias("step"),
-                F.lit(True).alias("whole"),
-            ),
-        )
-        .otherwise(
-            F.struct(
-                F.lit("").alias("tag"),
-                F.lit(0).alias("step"),
-                text.rlike(r"(?s)^(?:\?.*\?>|!--.*-->|!\[CDATA\[.*\]\]>|!DOCTYPE[^\[]*>)").alias("whole"),
-            )
-        )
-        .alias("shape"),
-        F.when(is_record, _attributes(F.regexp_extract(text, _TAG, 2))).alias("attributes"),
+        F.split(F.regexp_replace(text, _TAG, _PARTS), _MARK).alias("parts"),
     )
-    return tags.select(
+    parts = F.col("parts")
+    opened = F.size(parts) == 3
+    closed = text.rlike(_CLOSING)
+    named = shaped.select(
         "file",
         "text",
-        "shape.tag",
-        "shape.step",
-        (F.col("shape.whole") & (~F.col("is_record") | F.col("attributes").isNotNull())).alias("whole"),
-        "is_record",
-        "attributes",
+        F.when(opened, parts[0])
+        .when(closed, F.regexp_extract(text, _CLOSING, 1))
+        .otherwise(F.lit(""))
+        .alias("tag"),
+        F.when(opened, F.when(parts[2] == "/", 0).otherwise(1))
+        .when(closed, F.lit(-1))
+        .otherwise(F.lit(0))
+        .alias("step"),
+        F.when(opened | closed, F.lit(True)).otherwise(text.rlike(_MARKUP)).alias("whole"),
+        F.when(opened, parts[0] == element)
+        .otherwise(text.rlike(rf"^{element}(?:[\s/>]|$)"))
+        .alias("is_record"),
+        F.when(opened & (parts[0] == element), _attributes(parts[1])).alias("attributes"),
     )
+    readable = ~F.col("is_record") | F.col("attributes").isNotNull()
+    return named.withColumn("whole", F.col("whole") & readable)

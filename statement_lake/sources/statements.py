@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statement_lake.functions.fingerprint import fingerprint
-from statement_lake.functions.typed import STRICT_TYPES, has_text, is_bad, typed
+from statement_lake.functions.typed import STRICT_TYPES, has_text, is_bad, typed, value_text
 from statement_lake.session import settle
 from statement_lake.sources.elements import FILE_ORDER, STATEMENT_FILES, read_tag_text, split_tags
 from statement_lake.sources.specs import SourceSpec
@@ -50,23 +51,61 @@ def type_records(records: DataFrame, spec: SourceSpec, accept_compact: bool = Fa
     ``records`` needs an ``attributes`` map column.
     """
     raw = F.col("attributes")
-    kinds = {column.name: column.dataType.simpleString() for column in spec.columns}
-    values = records.select(
+    by_kind: dict[str, list[str]] = {}
+    for column in spec.columns:
+        by_kind.setdefault(column.dataType.simpleString(), []).append(column.name)
+    strings = by_kind.pop("string")
+    wanted = admits_detail(raw[spec.detail_attribute]) if spec.detail_attribute else F.lit(True)
+
+    # Columns of one kind are parsed as one array: the generated code stays small
+    # enough to be compiled however wide the source is.
+    texts = records.select(
         "*",
-        *[typed(raw[name], kind, accept_compact).alias(name) for name, kind in kinds.items()],
+        *[raw[name].alias(name) for name in strings],
+        *[
+            F.array(*[value_text(raw[name]) for name in names]).alias(f"_{kind}_text")
+            for kind, names in by_kind.items()
+        ],
         *([fingerprint(raw).alias(spec.hash)] if spec.hash else []),
+        wanted.alias("_wanted"),
+    )
+    arrays = texts.withColumns(
+        {
+            f"_{kind}": F.transform(f"_{kind}_text", _reader(kind, accept_compact))
+            for kind in by_kind
+        }
+    )
+    values = arrays.withColumns(
+        {
+            name: F.col(f"_{kind}")[position]
+            for kind, names in by_kind.items()
+            for position, name in enumerate(names)
+        }
     )
-    wanted = admits_detail(raw[spec.detail_attribute]) if spec.detail_attribute else F.lit(True)
     bad_names = F.array_compact(
-        F.array(
-            *[
-                F.when(wanted & is_bad(raw[name], F.col(name)), F.lit(name))
-                for name, kind in kinds.items()
-                if kind in STRICT_TYPES
-            ]
+        F.concat(
+            *[_bad_names(kind, by_kind[kind]) for kind in STRICT_TYPES if kind in by_kind],
         )
     )
-    return values.withColumns({"bad": bad_names, "admitted": wanted & _required(spec)})
+    kept = [name for name in records.columns if name != "attributes"]
+    return values.select(
+        *kept,
+        *spec.schema.names,
+        F.when(F.col("_wanted"), bad_names).otherwise(F.array().cast("array<string>")).alias("bad"),
+        (F.col("_wanted") & _required(spec)).alias("admitted"),
+    )
+
+
+def _reader(kind: str, accept_compact: bool) -> Callable[[Column], Column]:
+    return lambda text: typed(text, kind, accept_compact)
+
+
+def _bad_names(kind: str, names: list[str]) -> Column:
+    def bad(name: Column, position: Column) -> Column:
+        text = F.get(F.col(f"_{kind}_text"), position)
+        return F.when(is_bad(text, F.get(F.col(f"_{kind}"), position)), name)
+
+    return F.transform(F.array(*[F.lit(name) for name in names]), bad)
 
 
 def ingest_tags(
@@ -85,7 +124,7 @@ def ingest_tags(
     named = type_records(tags, spec, accept_compact)
     faulty = ~F.col("whole") | (F.size("bad") > 0)
     staged = settle(
-        named.withColumn("text", F.when(is_record & faulty, F.col("text"))).drop("attributes"),
+        named.withColumn("text", F.when(is_record & faulty, F.col("text"))),
         f"ingest-{spec.name}",
     )
 

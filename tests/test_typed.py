@@ -13,8 +13,9 @@ BAD = "bad"
 
 def parse(spark, kind, raws, **options):
     rows = spark.createDataFrame([(i, raw) for i, raw in enumerate(raws)], "i int, raw string")
-    value = P.typed(F.col("raw"), kind, **options)
-    out = rows.select("i", value.alias("v"), P.is_bad(F.col("raw"), value).alias("bad")).collect()
+    text = P.value_text(F.col("raw"))
+    value = P.typed(text, kind, **options)
+    out = rows.select("i", value.alias("v"), P.is_bad(text, value).alias("bad")).collect()
     strict = kind in P.STRICT_TYPES
     return [BAD if row.bad and strict else row.v for row in sorted(out, key=lambda row: row.i)]
 
@@ -49,7 +50,7 @@ def test_timestamps_do_not_follow_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         rows = spark.createDataFrame([("2024-03-10 02:30:00",)], "raw string")
-        text = rows.select(P.to_timestamp(F.col("raw")).cast("string").alias("t")).first().t
+        text = rows.select(P.timestamp_of(F.col("raw")).cast("string").alias("t")).first().t
         assert text == "2024-03-10 02:30:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
