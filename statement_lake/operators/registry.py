@@ -75,6 +75,7 @@ def earliest_symbols(registry: DataFrame, key: str, ignore_blank: bool = False)
     spans = dated.groupBy(key, "symbol").agg(
         F.min("first_seen").alias("_first"), F.max("first_seen").alias("_last")
     )
+    spans = settle(spans, "spans")
     roots = spans.groupBy(key).agg(
         F.min("_first").alias("_root_date"),
         F.min_by(
@@ -88,32 +89,47 @@ def earliest_symbols(registry: DataFrame, key: str, ignore_blank: bool = False)
     )
 
 
-def map_by(registry: DataFrame, key: str, ignore_blank: bool = False) -> DataFrame:
-    """Map open rows to the earliest symbol of the same ``key``, one hop.
+def _open_rows(registry: DataFrame) -> DataFrame:
+    return registry.where(F.col("map_to").isNull())
 
-    Only keys that have an open row are aggregated, so a load with few new
-    securities does little work on a large registry.
-    """
-    is_open = F.col("map_to").isNull()
-    open_rows = registry.where(is_open)
-    involved = registry.join(open_rows.select(key).distinct(), key, "left_semi")
-    moves = earliest_symbols(involved, key, ignore_blank)
-    mapped = open_rows.join(moves, [key, "symbol"], "left").withColumn("map_to", F.col("_root"))
-    return registry.where(~is_open).unionByName(mapped.select(*registry.columns))
+
+def _moves(registry: DataFrame, key: str, few_open: bool, ignore_blank: bool = False) -> DataFrame:
+    if few_open:
+        keys = _open_rows(registry).select(key).distinct()
+        registry = registry.join(keys, key, "left_semi")
+    return earliest_symbols(registry, key, ignore_blank)
+
+
+def _fill(registry: DataFrame, *moves: tuple[str, DataFrame]) -> DataFrame:
+    """Open rows take the first root the moves offer; all other rows stay."""
+    rows, roots = _open_rows(registry), []
+    for key, found in moves:
+        roots.append(f"_root_{key}")
+        rows = rows.join(found.withColumnRenamed("_root", roots[-1]), [key, "symbol"], "left")
+    filled = rows.withColumn("map_to", F.coalesce(*roots)).select(*registry.columns)
+    return registry.where(F.col("map_to").isNotNull()).unionByName(filled)
+
+
+def map_by(registry: DataFrame, key: str, ignore_blank: bool = False) -> DataFrame:
+    """Map open rows to the earliest symbol of the same ``key``, one hop."""
+    return _fill(registry, (key, _moves(registry, key, False, ignore_blank)))
 
 
 def resolve(registry: DataFrame, ignore_blank_description: bool = False) -> DataFrame:
     """Fill ``map_to``: by contract id, then by description, then to the symbol itself.
 
     ``registry`` should be settled; it comes back as it is when nothing is open.
+    Where few rows are open, only their keys are aggregated, so a load with few
+    new securities does little work on a large registry.
     """
-    if registry.where(F.col("map_to").isNull()).isEmpty():
+    open_count = _open_rows(registry).count()
+    if open_count == 0:
         return registry
-    by_conid = settle(map_by(registry, "conid"), "registry-conid")
-    by_text = map_by(by_conid, "description", ignore_blank_description)
-    return settle(
-        by_text.withColumn("map_to", F.coalesce("map_to", "symbol")), "registry"
-    )
+    few_open = open_count * 4 < registry.count()
+    by_conid = _moves(registry, "conid", few_open)
+    by_text = _moves(registry, "description", few_open, ignore_blank_description)
+    filled = _fill(registry, ("conid", by_conid), ("description", by_text))
+    return settle(filled.withColumn("map_to", F.coalesce("map_to", "symbol")), "registry")
 
 
 def dictionary(registry: DataFrame) -> DataFrame:

@@ -232,7 +232,7 @@ def upsert_by_hash(spark: SparkSession, folder: str) -> DataFrame:
     stored = base.trades(spark, folder)
     corrected = F.when(F.col("transactionType") == "A", F.col("tradePrice") * 2)
     batch = stored.withColumn("tradePrice", corrected.otherwise(F.col("tradePrice")))
-    return upsert.replace_by_hash(hashed(stored), hashed(batch), "h")
+    return upsert.replace_by_hash(hashed(stored), settle(hashed(batch), "batch"), "h")
 
 
 def _new_positions(spark: SparkSession, folder: str) -> DataFrame:
@@ -245,12 +245,14 @@ def _new_positions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def upsert_replace_dates(spark: SparkSession, folder: str) -> DataFrame:
-    stored, batch = hashed(base.positions(spark, folder)), hashed(_new_positions(spark, folder))
+    stored = hashed(base.positions(spark, folder))
+    batch = settle(hashed(_new_positions(spark, folder)), "batch")
     return upsert.replace_dates(stored, batch, "reportDate", "h")
 
 
 def upsert_positions_backfill(spark: SparkSession, folder: str) -> DataFrame:
-    stored, batch = hashed(base.positions(spark, folder)), hashed(_new_positions(spark, folder))
+    stored = hashed(base.positions(spark, folder))
+    batch = settle(hashed(_new_positions(spark, folder)), "batch")
     return upsert.replace_by_hash(stored, batch, "h")
 
 

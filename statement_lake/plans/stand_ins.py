@@ -18,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def money(value: Column) -> Column:
-    return F.format_string("%.2f", value)
+    return value.cast("decimal(20,2)").cast("string")
 
 
 def compact(date: Column) -> Column:
@@ -188,21 +188,22 @@ def write_statements(rows: DataFrame, element: str, file: Column, folder: str) -
         ),
         " ",
     )
-    lines = rows.select(
-        file.alias("file"),
-        F.lit(1).alias("part"),
-        F.concat(F.lit(f"<{element} "), attributes, F.lit("/>")).alias("value"),
-    )
-    files = rows.select(file.alias("file")).distinct()
     opening = F.lit('<?xml version="1.0" encoding="UTF-8"?><FlexQueryResponse><FlexStatement>')
     closing = F.lit("</FlexStatement></FlexQueryResponse>")
-    whole = lines.unionByName(
-        files.select("file", F.lit(0).alias("part"), opening.alias("value"))
-    ).unionByName(files.select("file", F.lit(2).alias("part"), closing.alias("value")))
+    keyed = rows.select(file.alias("_file"), F.lit(1).alias("_part"), "*")
+    frame = keyed.select("_file").distinct()
+    frame = frame.select("_file", F.explode(F.array(F.lit(0), F.lit(2))).alias("_part"))
     (
-        whole.repartition("file")
-        .sortWithinPartitions("file", "part")
-        .select("file", "value")
+        keyed.unionByName(frame, allowMissingColumns=True)
+        .repartition("_file")
+        .sortWithinPartitions("_file", "_part")
+        .select(
+            F.col("_file").alias("file"),
+            F.when(F.col("_part") == 0, opening)
+            .when(F.col("_part") == 2, closing)
+            .otherwise(F.concat(F.lit(f"<{element} "), attributes, F.lit("/>")))
+            .alias("value"),
+        )
         .write.partitionBy("file")
         .text(folder)
     )

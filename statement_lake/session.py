@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 # and splits skewed join partitions.
 SESSION_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
+    # Generated methods above this size are interpreted by the JVM; split them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

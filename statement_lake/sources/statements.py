@@ -13,6 +13,7 @@ from statement_lake.functions.typed import STRICT_TYPES, has_text, is_bad, typed
 from statement_lake.session import settle
 from statement_lake.sources.elements import FILE_ORDER, STATEMENT_FILES, read_tag_text, split_tags
 from statement_lake.sources.specs import SourceSpec
+from statement_lake.sources.triage import RESPONSE_ROOT
 
 
 @dataclass(frozen=True)
@@ -113,8 +114,8 @@ def ingest_tags(
 ) -> Ingested:
     """Type the records of the given tags and hold back what is faulty.
 
-    Strict: a file that is cut off, faulty or has one unreadable value is held
-    back whole.  Otherwise unreadable values become NULL and only records that
+    Strict: a file that is cut off, faulty, a service response instead of a
+    statement, or has one unreadable value is held back whole.  Otherwise unreadable values become NULL and only records that
     cannot be read at all are held back.
 
     The files are scanned once; everything else runs on the typed copy.
@@ -138,10 +139,12 @@ def ingest_tags(
         .agg(
             (F.bool_and("whole") & (F.max(F.abs("open")) == 0) & (F.max("tag") != "")).alias("whole"),
             F.bool_or("bad").alias("bad"),
+            F.bool_or(F.col("tag") == RESPONSE_ROOT).alias("is_response"),
         )
         .select(
             "file",
             F.when(~F.col("whole"), F.lit("malformed"))
+            .when(F.col("is_response"), F.lit("no statement"))
             .when(F.col("bad"), F.lit("unreadable value"))
             .alias("reason"),
         ),

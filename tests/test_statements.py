@@ -99,6 +99,14 @@ def test_one_unreadable_value_holds_back_its_file(spark, tmp_path):
     assert as_set(lenient.rows, "accountId") == {("G",), ("B",)}
 
 
+def test_a_service_response_is_no_statement(spark, tmp_path):
+    write(tmp_path, "good.xml", statement(trade()))
+    write(tmp_path, "wait.xml", response("Fail", "1019"))
+    ingested = ingest(spark, str(tmp_path), TRADES)
+    assert reasons(ingested) == {"good.xml": None, "wait.xml": "no statement"}
+    assert ingested.rows.count() == 1
+
+
 def test_admission(spark, tmp_path):
     write(
         tmp_path / "t", "a.xml",
