@@ -20,11 +20,13 @@ _MARK = "\u0001"
 _PARTS = _MARK.join(("$1", "$2", "$3"))
 _CLOSING = r"^/([^\s>]+)\s*>"
 _MARKUP = r"(?s)^(?:\?.*\?>|!--.*-->|!\[CDATA\[.*\]\]>|!DOCTYPE[^\[]*>)"
+# A prolog that declares another encoding: the text would be read wrongly.
+_FOREIGN = r"""(?is)^\?xml\s.*encoding\s*=\s*["'](?!utf-8|us-ascii)"""
 _MASKED = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 _PROBE = "attributes-end"
 _ATTRIBUTE_MAP = T.StructType([T.StructField("t", T.MapType(T.StringType(), T.StringType()))])
 
-STATEMENT_FILES = "*.xml"
+STATEMENT_FILES = "*.[xX][mM][lL]"
 
 # Directories in order, then names without regard to case, as a sorted folder listing.
 FILE_ORDER = "concat_ws('\\u0001', lower(regexp_replace(file, '/[^/]*$', '')), lower(file), file)"
@@ -112,7 +114,9 @@ def split_tags(tag_text: DataFrame, element: str) -> DataFrame:
         .when(closed, F.lit(-1))
         .otherwise(F.lit(0))
         .alias("step"),
-        F.when(opened | closed, F.lit(True)).otherwise(text.rlike(_MARKUP)).alias("whole"),
+        F.when(opened | closed, F.lit(True))
+        .otherwise(text.rlike(_MARKUP) & ~text.rlike(_FOREIGN))
+        .alias("whole"),
         F.when(opened, parts[0] == element)
         .otherwise(text.rlike(rf"^{element}(?:[\s/>]|$)"))
         .alias("is_record"),

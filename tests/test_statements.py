@@ -73,6 +73,7 @@ def test_comments_need_whole_files(spark, tmp_path):
         "<R>" + trade() + "<Trade a='x & y'/></R>",
         "<R>" + trade() + "<Trade a='&bad;'/></R>",
         "no markup at all",
+        "<?xml version='1.0' encoding='ISO-8859-1'?><R>" + trade() + "</R>",
     ],
 )
 def test_broken_files_are_held_back_whole(spark, tmp_path, broken):
