@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from statement_lake.plans import oracle, queries as registered
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("orders", "lineitem", "events", "part", "customer")
@@ -22,13 +22,13 @@ def engine():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registered.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_query_equals_sql(spark, engine, name):
-    found = contract.queries()[name](spark, FOLDER)
-    expected = engine.sql(contract.oracle_sql()[name])
+    found = registered.queries()[name](spark, FOLDER)
+    expected = engine.sql(oracle.oracle_sql()[name])
     columns = sorted(found.columns)
     assert columns == sorted(expected.columns)
     order = [expected.columns.index(column) for column in columns]
