@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statement_lake.llm import neighbours, top_k
+from statement_lake.llm import near_duplicates, neighbours, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k.exact_top_k(table(spark, folder, "embeddings"), asked())
 
 
+def op5_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"))
+
+
 def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), asked())
 
@@ -32,6 +36,7 @@ def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
+        "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
         "op9_nearest_neighbours": op9_nearest_neighbours,
     }
 
