@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statement_lake.llm import near_duplicates, neighbours, top_k
+from statement_lake.llm import language, near_duplicates, neighbours, packing, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,18 @@ def op1_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k.exact_top_k(table(spark, folder, "embeddings"), asked())
 
 
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return packing.best_fit(documents, public_tokenizers.path(packing.TOKENIZER))
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = language.held_out()
+    found = language.identify(documents, ~held_out)
+    return found.withColumn("held_out", held_out)
+
+
 def op5_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
 
@@ -36,6 +49,8 @@ def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
+        "op2_best_fit_packing": op2_best_fit_packing,
+        "op4_language_id": op4_language_id,
         "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
         "op9_nearest_neighbours": op9_nearest_neighbours,
     }
