@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statement_lake.llm import language, near_duplicates, neighbours, packing, top_k
+from statement_lake.llm import language, near_duplicates, neighbours, packing, top_k, warc
+from statement_lake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,12 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit(documents, public_tokenizers.path(packing.TOKENIZER))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = scratch_path(spark, "warc")
+    manifest = warc.write_archives(table(spark, folder, "pages"), archives)
+    return warc.read_archives(manifest, archives).drop("url")
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     held_out = language.held_out()
@@ -50,6 +57,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
         "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_warc": op3_warc,
         "op4_language_id": op4_language_id,
         "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
         "op9_nearest_neighbours": op9_nearest_neighbours,
@@ -58,10 +66,10 @@ def queries() -> dict[str, Query]:
 
 OP1 = """
 WITH coded AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS codes
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS codes
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), ranked AS (
   SELECT q.vec_id AS query_id, c.vec_id,
          CAST(list_inner_product(q.codes, c.codes) AS BIGINT) AS score,
@@ -73,6 +81,27 @@ WITH coded AS (
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
 """
 
+OP3 = """
+WITH summed AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+         CAST(from_hex(sha1(coalesce(html, ''))) AS BIT)::VARCHAR AS bits,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+           + 16 * CAST(substr(bits, CAST(5 * i + 1 AS BIGINT), 1) AS INTEGER)
+           + 8 * CAST(substr(bits, CAST(5 * i + 2 AS BIGINT), 1) AS INTEGER)
+           + 4 * CAST(substr(bits, CAST(5 * i + 3 AS BIGINT), 1) AS INTEGER)
+           + 2 * CAST(substr(bits, CAST(5 * i + 4 AS BIGINT), 1) AS INTEGER)
+           + CAST(substr(bits, CAST(5 * i + 5 AS BIGINT), 1) AS INTEGER) AS BIGINT), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM summed
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_top_k": OP1}
+    return {"op1_exact_top_k": OP1, "op3_warc": OP3}
