@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statement_lake.llm import language, near_duplicates, neighbours, packing, top_k, warc
+from statement_lake.llm import language, near_duplicates, neighbours, packing, personal_data, secret_scan, top_k, warc
 from statement_lake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,14 @@ def op5_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, folder, "documents"))
+
+
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.find_personal_data(table(spark, folder, "documents"))
+
+
 def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), asked())
 
@@ -60,6 +68,8 @@ def queries() -> dict[str, Query]:
         "op3_warc": op3_warc,
         "op4_language_id": op4_language_id,
         "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
+        "op6_secret_scan": op6_secret_scan,
+        "op8_personal_data": op8_personal_data,
         "op9_nearest_neighbours": op9_nearest_neighbours,
     }
 
