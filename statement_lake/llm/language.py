@@ -115,6 +115,26 @@ def identify(
     their names.  Null labels teach nothing.  Rows with null or equal ids have
     their own rows.  Other columns are ignored.
     """
+    rows = _predicted(documents, learn_from, id_column, text_column, label_column, "doc_id long")
+    return rows(F.col(id_column).cast("long").alias("doc_id"))
+
+
+def predict_rows(
+    documents: DataFrame,
+    learn_from: Column | DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    label_column: str = "lang",
+) -> DataFrame:
+    """(row, lang_pred, score): as identify(), with all columns of the documents in row."""
+    rows = _predicted(documents, learn_from, id_column, text_column, label_column, None)
+    return rows(F.struct("*").alias("row"))
+
+
+def _predicted(
+    documents: DataFrame, learn_from: Column | DataFrame, id_column: str, text_column: str,
+    label_column: str, kind: str | None,
+):
     lessons = documents.where(learn_from) if isinstance(learn_from, Column) else learn_from
     langs, logs, prior = learn(lessons, id_column, text_column, label_column)
     model = documents.sparkSession.sparkContext.broadcast((langs, logs, prior))
@@ -123,7 +143,7 @@ def identify(
         langs, logs, prior = model.value
         for batch in batches:
             found, sure = [], []
-            for text in batch.column("text"):
+            for text in batch.column(1):
                 text = text.as_py()
                 if not langs or text is None or not any(map(str.isalpha, text)):
                     found.append(UNKNOWN)
@@ -134,14 +154,16 @@ def identify(
                 found.append(langs[best])
                 sure.append(float(1 / np.exp(total - total[best]).sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.string()), pa.array(sure, pa.float64())],
-                ["doc_id", "lang_pred", "score"],
+                [batch.column(0), pa.array(found, pa.string()), pa.array(sure, pa.float64())],
+                [batch.schema.names[0], "lang_pred", "score"],
             )
 
-    rows = documents.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
-    )
-    return rows.mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    def over(first: Column) -> DataFrame:
+        rows = documents.select(first, F.col(text_column).alias("text"))
+        shown = kind or f"row {rows.schema['row'].dataType.simpleString()}"
+        return rows.mapInArrow(predict, f"{shown}, lang_pred string, score double")
+
+    return over
 
 
 def held_out(id_column: str = "doc_id") -> Column:

@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statement_lake.llm import language, near_duplicates, neighbours, packing, personal_data, secret_scan, top_k, warc
+from statement_lake.llm import (
+    language, language_model, mixture, near_duplicates, neighbours, packing, personal_data,
+    secret_scan, top_k, warc,
+)
 from statement_lake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +56,10 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, folder, "documents"))
 
 
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score_texts(table(spark, folder, "documents"))
+
+
 def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.find_personal_data(table(spark, folder, "documents"))
 
@@ -61,6 +68,11 @@ def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), asked())
 
 
+def op10_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixture.mix(table(spark, folder, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), *mixture.LEVELS, "tokens", "epoch")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -69,8 +81,10 @@ def queries() -> dict[str, Query]:
         "op4_language_id": op4_language_id,
         "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
         "op6_secret_scan": op6_secret_scan,
+        "op7_language_model": op7_language_model,
         "op8_personal_data": op8_personal_data,
         "op9_nearest_neighbours": op9_nearest_neighbours,
+        "op10_source_mixture": op10_source_mixture,
     }
 
 
@@ -112,6 +126,68 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
 FROM summed
 """
 
+#: Water-filling of one level; the same for each.
+LEVEL = """
+{nodes} AS (
+  SELECT {own}, CAST(sum(tokens) * 2 AS HUGEINT) AS capacity, any_value({weight}) AS weight
+  FROM leaves GROUP BY {own}
+), {nodes}_placed AS (
+  SELECT n.*, p.budget AS above,
+         coalesce(sum(capacity) OVER (PARTITION BY {inner} ORDER BY capacity / weight, n.{level}
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(weight) OVER (PARTITION BY {inner} ORDER BY capacity / weight, n.{level}
+           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after
+  FROM {nodes} n JOIN {above} p ON {on}
+), {nodes}_full AS (
+  SELECT *, capacity * after <= weight * (above - before) AS is_full FROM {nodes}_placed
+), {nodes}_budget AS (
+  SELECT {own}, CASE WHEN is_full THEN capacity ELSE least(capacity,
+           (weight * (above - sum(CASE WHEN is_full THEN capacity ELSE 0 END) OVER (PARTITION BY {parts})))
+           // sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER (PARTITION BY {parts})) END AS budget
+  FROM {nodes}_full
+)"""
+
+DOMAIN_WEIGHT = "CASE domain WHEN 'web' THEN 4 WHEN 'books' THEN 3 WHEN 'code' THEN 2 ELSE 1 END"
+LANG_WEIGHT = "CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END"
+
+OP10 = (
+    """
+WITH RECURSIVE read AS (
+  SELECT doc_id, coalesce(lang, '-') AS lang, coalesce(source, '-') AS source,
+         list_extract(['web', 'books', 'code', 'forum'],
+           1 + coalesce(try_cast(nullif(regexp_extract(source, '([0-9]{1,9})$', 1), '') AS INTEGER), 0) % 4) AS domain,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens,
+         coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(coalesce(text, '')) AS name
+  FROM documents
+), leaves AS (
+  SELECT domain, lang, source, sum(tokens) AS tokens FROM read GROUP BY ALL HAVING sum(tokens) > 0
+), root AS (
+  SELECT CAST(sum(tokens) * 50 // 100 AS HUGEINT) AS budget FROM leaves
+), """
+    + LEVEL.format(nodes="domains", own="domain", weight=DOMAIN_WEIGHT, parts="1", inner="1", level="domain", above="root", on="true")
+    + ", "
+    + LEVEL.format(nodes="langs", own="domain, lang", weight=LANG_WEIGHT, parts="domain", inner="n.domain", level="lang",
+                   above="domains_budget", on="n.domain = p.domain")
+    + ", "
+    + LEVEL.format(nodes="sources", own="domain, lang, source", weight="1", parts="domain, lang", inner="n.domain, n.lang", level="source",
+                   above="langs_budget", on="n.domain = p.domain AND n.lang = p.lang")
+    + """, dealt AS (
+  SELECT l.*, CAST(b.budget // l.tokens AS INTEGER) AS whole, b.budget % l.tokens AS rest
+  FROM leaves l JOIN sources_budget b USING (domain, lang, source)
+), run AS (
+  SELECT r.*, d.whole, d.rest,
+         sum(r.tokens) OVER (PARTITION BY r.domain, r.lang, r.source
+           ORDER BY md5('17:' || d.whole || ':' || r.name), r.tokens
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until
+  FROM read r JOIN dealt d USING (domain, lang, source)
+)
+SELECT doc_id, domain, lang, source, tokens, CAST(e AS INTEGER) AS epoch
+FROM (SELECT *, unnest(range(1, whole + 1)) AS e FROM run)
+UNION ALL
+SELECT doc_id, domain, lang, source, tokens, whole + 1 FROM run WHERE rest > 0 AND until <= rest
+"""
+)
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_top_k": OP1, "op3_warc": OP3}
+    return {"op1_exact_top_k": OP1, "op3_warc": OP3, "op10_source_mixture": OP10}
