@@ -3,46 +3,85 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statement_lake.session import settle
 
 TOKENIZER, SEQUENCE, END_ID = "word_bpe_49k.json", 4096, 1
-#: Words whose ids a Python worker remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Words, and parts of words, whose ids a Python worker remembers before it starts afresh.
+REMEMBERED = 1_000_000
 #: Pieces that share a numbering bucket, about; buckets are what ranks are counted in.
 BUCKET_ROWS = 50_000
 #: Longest stretch of text without an ASCII blank that is remembered.
 WORD_BYTES = 64
 
-_known: dict[bytes, bytes] = {}
+_words: dict[bytes, bytes] = {}
+_parts: dict[str, bytes] = {}
+#: Words of plain Latin characters: lower case and composition are letter by letter there.
+PLAIN = re.compile("[\x21-\x7e\xa1-\xff]+")
+#: How the tokenizer parts a word: a fixed pattern of its file.
+PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+def _encoded(texts: list[str], tokenizer) -> list[bytes]:
+    found = tokenizer.encode_batch(texts, add_special_tokens=False)
+    return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+
+@cache
+def _bytes_shown(tokenizer) -> dict[int, str]:
+    """How the tokenizer writes the bytes of each plain character."""
+    cut = tokenizer.pre_tokenizer.pre_tokenize_str
+    return {c: "".join(part for part, _ in cut(chr(c))) for c in range(0x21, 0x100)}
+
+
+def _encoded_parts(parts: list[str], tokenizer) -> list[bytes]:
+    """Ids of parts of plain words, straight from the tokenizer's merges."""
+    model, shown = tokenizer.model, _bytes_shown(tokenizer)
+    found = [model.tokenize(p if p.isascii() else p.translate(shown)) for p in parts]
+    return [np.array([t.id for t in tokens], "<u4").tobytes() for tokens in found]
 
 
 def token_ids(text: bytes, tokenizer) -> bytes:
     """The ids of a text as unsigned little-endian 32-bit numbers.
 
     This tokenizer makes white space part of no token, joins nothing over it and
-    treats each stretch by itself, so a stretch's ids never depend on its
-    neighbours: each is encoded once and remembered.
+    treats each stretch by itself, so a word's ids never depend on its
+    neighbours.  Within plain words the same holds for the parts it cuts them
+    into.  Words and parts are encoded once and remembered.
     """
     words = text.split()
     try:
-        return b"".join([_known[w] for w in words])
+        return b"".join([_words[w] for w in words])
     except KeyError:
         pass
-    if len(_known) > REMEMBERED:
-        _known.clear()
-    new = [w for w in dict.fromkeys(words) if w not in _known]
-    found = tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-    fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, found)}
-    _known.update((w, ids) for w, ids in fresh.items() if len(w) <= WORD_BYTES)
-    return b"".join([fresh[w] if w in fresh else _known[w] for w in words])
+    for held in (_words, _parts):
+        if len(held) > REMEMBERED:
+            held.clear()
+    cut, other = {}, []
+    for word in dict.fromkeys(words):
+        if word not in _words:
+            shown = word.decode()
+            if len(word) <= WORD_BYTES and PLAIN.fullmatch(shown):
+                cut[word] = PART.findall(shown.lower())
+            else:
+                other.append(word)
+    new = [p for p in dict.fromkeys(chain.from_iterable(cut.values())) if p not in _parts]
+    _parts.update(zip(new, _encoded_parts(new, tokenizer)))
+    fresh = {word: b"".join([_parts[p] for p in parts]) for word, parts in cut.items()}
+    fresh.update(zip(other, _encoded([w.decode() for w in other], tokenizer)))
+    _words.update((w, ids) for w, ids in fresh.items() if len(w) <= WORD_BYTES)
+    return b"".join([fresh[w] if w in fresh else _words[w] for w in words])
 
 
 def pieces(

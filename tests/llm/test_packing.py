@@ -88,6 +88,17 @@ def test_pieces_and_places(spark, length):
     assert len(used) == len(one_by_one([r.length for r in found], length))
 
 
+def test_remembered_words_equal_the_tokenizer():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    random = np.random.default_rng(6)
+    letters = list("aZé'sß.9²½ªµ-ÀÿÑ\xa0\x85\x1c\xadﬁ°Σςİ́ \n")
+    for _ in range(3000):
+        text = "".join(random.choice(letters, random.integers(0, 30)))
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert packing.token_ids(text.encode(), tokenizer) == np.array(ids, "<u4").tobytes(), repr(text)
+
+
 def test_no_rows(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert packing.best_fit(frame, PATH).count() == 0
