@@ -32,6 +32,7 @@ COMPANY_DATASETS = ("symbols_dictionary", "positions_latest", "positions_history
 SECURITY_PREFIX = r"^[A-Za-z0-9._-]+\([^)]+\)\s+"
 CODE_WIDTH = 4
 LETTERS = 26
+MOST_LETTERS = 8
 
 
 def draw_factor(seed: int | None = None) -> float:
@@ -58,20 +59,23 @@ def distinct_symbols(datasets: Mapping[str, DataFrame]) -> DataFrame | None:
 
 
 def _letters(number: Column, width: int) -> Column:
-    return F.concat(
-        *[
-            F.char(F.lit(65) + F.pmod(F.floor(number / F.lit(LETTERS**place)), F.lit(LETTERS)))
-            for place in reversed(range(width))
-        ]
-    )
+    """The number in letters, with `width` of them at least; longer numbers take as many as they need."""
+    digits = F.char(F.lit(65) + F.pmod(number, F.lit(LETTERS)))
+    text = digits
+    for place in range(1, MOST_LETTERS):
+        higher = F.floor(number / F.lit(LETTERS**place))
+        letter = F.char(F.lit(65) + F.pmod(higher, F.lit(LETTERS)))
+        shown = letter if place < width else F.when(higher > 0, letter).otherwise(F.lit(""))
+        text = F.concat(shown, text)
+    return text
 
 
 def symbol_codes(symbols: DataFrame, width: int = CODE_WIDTH) -> DataFrame:
     """(symbol, code): each symbol's position in code-point order, as letters.
 
     Positions come from range partitions: the position inside the partition plus
-    the sizes of those before it, so no task holds all symbols.  Codes widen past
-    26^width symbols and stay unique.
+    the sizes of those before it, so no task holds all symbols.  A code depends
+    on the position alone: positions from 26^width on have more letters.
     """
     ranged = settle(
         symbols.select("symbol")
@@ -89,9 +93,6 @@ def symbol_codes(symbols: DataFrame, width: int = CODE_WIDTH) -> DataFrame:
             - F.col("size")
         ).alias("offset"),
     )
-    total = ranged.count()
-    while LETTERS**width < total:
-        width += 1
     position = F.row_number().over(W.partitionBy("part").orderBy("symbol")) - 1
     return (
         ranged.withColumn("position", position)

@@ -72,20 +72,15 @@ def earliest_symbols(registry: DataFrame, key: str, ignore_blank: bool = False)
     dated = registry.where(F.col("first_seen").isNotNull() & F.col(key).isNotNull())
     if ignore_blank:
         dated = dated.where(F.trim(key) != "")
-    spans = dated.groupBy(key, "symbol").agg(
-        F.min("first_seen").alias("_first"), F.max("first_seen").alias("_last")
-    )
-    spans = settle(spans, "spans")
-    roots = spans.groupBy(key).agg(
-        F.min("_first").alias("_root_date"),
-        F.min_by(
-            "symbol", F.struct("_first", F.col("symbol").isNull(), "symbol")
-        ).alias("_root"),
+    roots = dated.groupBy(key).agg(
+        F.min("first_seen").alias("_root_date"),
+        F.min_by("symbol", F.struct("first_seen", F.col("symbol").isNull(), "symbol")).alias("_root"),
     )
     return (
-        spans.join(settle(roots, "roots"), key)
-        .where(F.col("_last") > F.col("_root_date"))
+        dated.join(settle(roots, "roots"), key)
+        .where(F.col("first_seen") > F.col("_root_date"))
         .select(key, "symbol", "_root")
+        .distinct()
     )
 
 
@@ -93,11 +88,10 @@ def _open_rows(registry: DataFrame) -> DataFrame:
     return registry.where(F.col("map_to").isNull())
 
 
-def _moves(registry: DataFrame, key: str, few_open: bool, ignore_blank: bool = False) -> DataFrame:
-    if few_open:
-        keys = _open_rows(registry).select(key).distinct()
-        registry = registry.join(keys, key, "left_semi")
-    return earliest_symbols(registry, key, ignore_blank)
+def _moves(registry: DataFrame, key: str, ignore_blank: bool = False) -> DataFrame:
+    """Moves of the keys that open rows have."""
+    keys = _open_rows(registry).select(key).distinct()
+    return earliest_symbols(registry.join(keys, key, "left_semi"), key, ignore_blank)
 
 
 def _fill(registry: DataFrame, *moves: tuple[str, DataFrame]) -> DataFrame:
@@ -112,22 +106,20 @@ def _fill(registry: DataFrame, *moves: tuple[str, DataFrame]) -> DataFrame:
 
 def map_by(registry: DataFrame, key: str, ignore_blank: bool = False) -> DataFrame:
     """Map open rows to the earliest symbol of the same ``key``, one hop."""
-    return _fill(registry, (key, _moves(registry, key, False, ignore_blank)))
+    return _fill(registry, (key, _moves(registry, key, ignore_blank)))
 
 
 def resolve(registry: DataFrame, ignore_blank_description: bool = False) -> DataFrame:
     """Fill ``map_to``: by contract id, then by description, then to the symbol itself.
 
     ``registry`` should be settled; it comes back as it is when nothing is open.
-    Where few rows are open, only their keys are aggregated, so a load with few
-    new securities does little work on a large registry.
+    Only the keys of open rows are aggregated, so a load with few new securities
+    does little work on a large registry.
     """
-    open_count = _open_rows(registry).count()
-    if open_count == 0:
+    if _open_rows(registry).isEmpty():
         return registry
-    few_open = open_count * 4 < registry.count()
-    by_conid = _moves(registry, "conid", few_open)
-    by_text = _moves(registry, "description", few_open, ignore_blank_description)
+    by_conid = _moves(registry, "conid")
+    by_text = _moves(registry, "description", ignore_blank_description)
     filled = _fill(registry, ("conid", by_conid), ("description", by_text))
     return settle(filled.withColumn("map_to", F.coalesce("map_to", "symbol")), "registry")
 

@@ -373,7 +373,8 @@ def corporate_actions_history(spark: SparkSession, folder: str) -> DataFrame:
 
 def cash_transactions_history(spark: SparkSession, folder: str) -> DataFrame:
     columns = "symbol currency description reportDate amount"
-    return _canonical(base.cash_transactions(spark, folder), spark, folder, columns)
+    cash = base.cash_transactions(spark, folder).where(admits_detail(F.col("levelOfDetail")))
+    return _canonical(cash, spark, folder, columns)
 
 
 def positions_history(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,6 +22,8 @@ _CLOSING = r"^/([^\s>]+)\s*>"
 _MARKUP = r"(?s)^(?:\?.*\?>|!--.*-->|!\[CDATA\[.*\]\]>|!DOCTYPE[^\[]*>)"
 # A prolog that declares another encoding: the text would be read wrongly.
 _FOREIGN = r"""(?is)^\?xml\s.*encoding\s*=\s*["'](?!utf-8|us-ascii)"""
+#: The name such a prolog gets; no element can have it.
+FOREIGN_TAG = "?foreign"
 _MASKED = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 _PROBE = "attributes-end"
 _ATTRIBUTE_MAP = T.StructType([T.StructField("t", T.MapType(T.StringType(), T.StringType()))])
@@ -108,6 +110,7 @@ def split_tags(tag_text: DataFrame, element: str) -> DataFrame:
         "text",
         F.when(opened, parts[0])
         .when(closed, F.regexp_extract(text, _CLOSING, 1))
+        .when(text.rlike(_FOREIGN), F.lit(FOREIGN_TAG))
         .otherwise(F.lit(""))
         .alias("tag"),
         F.when(opened, F.when(parts[2] == "/", 0).otherwise(1))

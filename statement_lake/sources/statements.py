@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 from statement_lake.functions.fingerprint import fingerprint
 from statement_lake.functions.typed import STRICT_TYPES, has_text, is_bad, typed, value_text
 from statement_lake.session import settle
-from statement_lake.sources.elements import FILE_ORDER, STATEMENT_FILES, read_tag_text, split_tags
+from statement_lake.sources.elements import (
+    FILE_ORDER, FOREIGN_TAG, STATEMENT_FILES, read_tag_text, split_tags,
+)
 from statement_lake.sources.specs import SourceSpec
 from statement_lake.sources.triage import RESPONSE_ROOT
 
+#: Verdict on a file whose prolog names an encoding that is not read.
+FOREIGN = "foreign encoding"
+
 
 @dataclass(frozen=True)
 class Ingested:
@@ -140,10 +145,12 @@ def ingest_tags(
             (F.bool_and("whole") & (F.max(F.abs("open")) == 0) & (F.max("tag") != "")).alias("whole"),
             F.bool_or("bad").alias("bad"),
             F.bool_or(F.col("tag") == RESPONSE_ROOT).alias("is_response"),
+            F.bool_or(F.col("tag") == FOREIGN_TAG).alias("is_foreign"),
         )
         .select(
             "file",
-            F.when(~F.col("whole"), F.lit("malformed"))
+            F.when(F.col("is_foreign"), F.lit(FOREIGN))
+            .when(~F.col("whole"), F.lit("malformed"))
             .when(F.col("is_response"), F.lit("no statement"))
             .when(F.col("bad"), F.lit("unreadable value"))
             .alias("reason"),
@@ -159,8 +166,14 @@ def ingest_tags(
         good = records.join(held_files, "file", "left_anti")
         held = records.join(held_files, "file")
     else:
-        good = records.where("whole")
-        held = records.where(~F.col("whole")).withColumn("reason", F.lit("malformed"))
+        # text in another encoding would be read wrongly, whatever the mode
+        foreign = files.where(F.col("reason") == FOREIGN)
+        legible = records.join(foreign, "file", "left_anti")
+        good = legible.where("whole")
+        held = legible.where(~F.col("whole")).withColumn("reason", F.lit("malformed"))
+        held = held.unionByName(records.join(foreign, "file"))
+        whole_file = F.col("reason").isin(FOREIGN, "no statement")
+        files = files.withColumn("reason", F.when(whole_file, F.col("reason")))
     rejects = (
         records.select("file", F.explode("bad").alias("column"))
         .groupBy("file", "column")
@@ -185,4 +198,19 @@ def ingest(
 ) -> Ingested:
     """Ingest every statement file under ``paths``."""
     tags = read_tag_text(spark, paths, whole_files, pattern)
-    return ingest_tags(tags, spec, strict=strict, accept_compact=accept_compact)
+    ingested = ingest_tags(tags, spec, strict=strict, accept_compact=accept_compact)
+    # Files without a single tag give no rows above; Spark's listing has their names.
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", pattern)
+        .load(paths)
+        .inputFiles()
+    )
+    given = spark.createDataFrame([(name,) for name in listed], "file string")
+    # a local file's name may begin with one slash or three
+    plain = lambda name: F.regexp_replace(name, "^file:/+", "file:/")
+    seen = ingested.files.select(plain("file").alias("_seen"))
+    empty = given.join(seen, plain("file") == F.col("_seen"), "left_anti")
+    empty = empty.select("file", F.lit("empty").alias("reason"))
+    return replace(ingested, files=ingested.files.unionByName(empty))
