@@ -18,8 +18,9 @@ HEX = r"[0-9a-f]{16,}+"
 BASE_KINDS = ("assign", "access", "hex")
 
 #: Strings that are tested: unbroken, of this length at least, with a letter and a digit.
+#: A sign of equality ends one and may stand before the next (NAME=value, url parameters).
 LEAST = 20
-STRING = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{{{LEAST},}}+"
+STRING = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{LEAST},}}+"
 #: Encodings that are tried in turn, and their alphabets, in order.
 ENCODINGS = (
     ("hex", "0123456789abcdef"),
