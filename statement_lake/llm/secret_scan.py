@@ -34,6 +34,27 @@ ENCODINGS = (
 )
 #: Length classes begin here; steps of the p-value; share of false finds that is allowed.
 CLASSES, STEPS, FALSE_SHARE = (20, 28, 40, 64), 20, 0.05
+#: The highest step a cut-off may have, and the one where a class's own counts give none:
+#: random strings stay above it in nine cases of ten at least, however many others there are.
+HIGHEST = 2
+
+
+def _kind(char: Column) -> Column:
+    """Digits, upper case, lower case, others."""
+    return (
+        F.when(char.between("0", "9"), 0).when(char.between("A", "Z"), 1).when(char.between("a", "z"), 2).otherwise(3)
+    )
+
+
+def _shares(letters: str) -> list[float]:
+    kinds = [0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3 for c in letters]
+    return [kinds.count(k) / len(letters) for k in range(4)]
+
+
+def _changes(letters: str) -> tuple[float, float]:
+    """Chance that two neighbouring letters differ in kind, and that two neighbouring pairs both do."""
+    shares = _shares(letters)
+    return 1 - sum(p * p for p in shares), sum(p * (1 - p) ** 2 for p in shares)
 
 
 def _normal_above(z: Column) -> Column:
@@ -57,12 +78,24 @@ def alphabet(text: Column) -> Column:
 def randomness(text: Column, encoding: Column) -> Column:
     """p-value of the hypothesis that the text is random in its encoding.
 
-    Three tests: chi-squared of the letter counts against an even alphabet (by the
+    Four tests: chi-squared of the letter counts against an even alphabet (by the
     Wilson-Hilferty approximation); the number of runs above and below the middle
-    of the alphabet; the correlation of neighbouring letters' numbers.  The least
-    of the three counts, times three.
+    of the alphabet; the correlation of neighbouring letters' numbers; the number
+    of changes between digits, upper and lower case, which words and identifiers
+    have few of.  The least of the four counts, times four.
     """
     letters = F.create_map(*[F.lit(x) for pair in ENCODINGS for x in pair])
+    one = F.create_map(*[F.lit(x) for name, known in ENCODINGS for x in (name, _changes(known)[0])])
+    both = F.create_map(*[F.lit(x) for name, known in ENCODINGS for x in (name, _changes(known)[1])])
+
+    def changes(kinds: Column) -> Column:
+        n = F.size(kinds).cast("double")
+        seen = F.size(
+            F.filter(F.sequence(F.lit(1), F.size(kinds) - 1), lambda i: F.get(kinds, i) != F.get(kinds, i - 1))
+        )
+        q = one[encoding]
+        spread = F.sqrt((n - 1) * q * (1 - q) + 2 * (n - 2) * (both[encoding] - q * q))
+        return _beyond((seen - (n - 1) * q) / spread)
 
     def tested(chars: Column, values: Column, size: Column) -> Column:
         n = F.size(chars).cast("double")
@@ -112,8 +145,9 @@ def randomness(text: Column, encoding: Column) -> Column:
             z = (pairs / around + 1 / n) * F.sqrt(n)
             return F.when(around == 0, 0.0).otherwise(_beyond(z))
 
-        least = F.least(p_even, let(high, runs), let(total / n, serial))
-        return F.least(F.lit(1.0), 3 * least)
+        kinds = F.transform(chars, _kind)
+        least = F.least(p_even, let(high, runs), let(total / n, serial), let(kinds, changes))
+        return F.least(F.lit(1.0), 4 * least)
 
     def over(chars: Column) -> Column:
         known = letters[encoding]
@@ -138,9 +172,11 @@ def cutoffs(strings: DataFrame) -> dict[tuple[str, int], int]:
     p-values of random strings spread evenly, those of structured ones gather at
     the low end.  The upper half therefore tells how many strings are random, and
     so how many of those above a step are not: the lowest step at which that share
-    stays within FALSE_SHARE is taken.  Each string counts once.  Classes without
-    such a step have none.  What comes to the driver is a count per encoding,
-    class and step.
+    stays within FALSE_SHARE is taken.  A class without such a step up to HIGHEST
+    (too few random strings, or too many structured ones) takes HIGHEST: no real
+    one goes because of the others, and the share of false finds may then be
+    larger.  Each string counts once.  What comes to the driver is a count per
+    encoding, class and step.
     """
     steps = (
         strings.groupBy("text")
@@ -156,7 +192,8 @@ def cutoffs(strings: DataFrame) -> dict[tuple[str, int], int]:
     for key, counts in held.items():
         half = STEPS // 2
         even = sum(counts[half:]) / (STEPS - half)
-        for step in range(1, half + 1):
+        found[key] = HIGHEST
+        for step in range(1, HIGHEST):
             above = sum(counts[step:])
             if above and even and (above - even * (STEPS - step)) / above <= FALSE_SHARE:
                 found[key] = step
