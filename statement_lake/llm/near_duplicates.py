@@ -46,21 +46,30 @@ def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(
+    documents: DataFrame, id_column: str, text_column: str, digests: bool = False
+) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long.  digests: with the text's SHA-256, too."""
+    more = ["digest"] if digests else []
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             found = [fingerprint(t.as_py() or b"") for t in texts]
             fp = np.array(found, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), pa.array(fp), *[batch.column(c) for c in more]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", *more])
 
     rows = documents.select(
         F.col(id_column).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("text"),
+        *[_digest(F.col(text_column)).alias(c) for c in more],
     )
-    return rows.mapInArrow(of, "doc_id long, fp long")
+    return rows.mapInArrow(of, "doc_id long, fp long" + ", digest string" * digests)
+
+
+def _digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
 def _signed(bits: int) -> int:
@@ -160,22 +169,11 @@ def components(links: DataFrame, label: str = "simhash") -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row a document row.
+def _groups(found: DataFrame) -> DataFrame:
+    """(fp, root, component_id) for fingerprints (doc_id, fp): root tells components apart.
 
-    fingerprint: 16 lowercase hex digits of the SimHash over three-word shingles.
-    component_id: the smallest doc_id reachable over fingerprints that differ in
-    three bits at most, the document's own included.
-
-    Null text counts as empty; texts without words have fingerprint 0 and link
-    like any other.  Copies share a fingerprint and are handled once.  A null
-    doc_id has its row too, but is never a component_id unless no member has an
-    id.  Rows with one doc_id each have their row.  No rows: no rows.  Other
-    columns are ignored.
+    Components may have one component_id where a doc_id repeats with different texts.
     """
-    found = settle(fingerprints(documents, id_column, text_column), "simhash-prints")
     prints = settle(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     close = settle(components(_within_two(prints), "simhash-two"), "simhash-close")
 
@@ -190,8 +188,26 @@ def near_duplicates(
     links = further.union(close.select(F.col("node").alias("a"), F.col("root").alias("b")))
     last = settle(rooted(components(links, "simhash-all"), "of"), "simhash-last")
     ids = last.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = settle(last.join(ids, "root").select("fp", "component_id"), "simhash-components")
-    return found.join(of, "fp").select(
+    return settle(last.join(ids, "root").select("fp", "root", "component_id"), "simhash-components")
+
+
+def near_duplicates(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(doc_id, fingerprint, component_id), one row a document row.
+
+    fingerprint: 16 lowercase hex digits of the SimHash over three-word shingles.
+    component_id: the smallest doc_id reachable over fingerprints that differ in
+    three bits at most, the document's own included.
+
+    Null text counts as empty; texts without words have fingerprint 0 and link
+    like any other.  Copies share a fingerprint and are handled once.  A null
+    doc_id has its row too, but is never a component_id unless no member has an
+    id.  Rows with one doc_id each have their row.  No rows: no rows.  Other
+    columns are ignored.
+    """
+    found = settle(fingerprints(documents, id_column, text_column), "simhash-prints")
+    return found.join(_groups(found), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
@@ -199,29 +215,40 @@ def near_duplicates(
 def one_of_each(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The documents without those whose component_id is another document's.
+    """One row of each component of near duplicates.
 
-    Every column stays as it is.  Several rows with the doc_id that is kept: the
-    smallest of them, in order of their columns, stays.  Rows with a null doc_id
-    cannot be named as copies and all stay.
+    Every column stays as it is.  The row with the component's least doc_id stays;
+    of several such rows the smallest, in order of their columns.  A doc_id that
+    repeats with different texts may so stay once in each of their components.
+    Rows with a null doc_id cannot be copies of rows that have one, but are of
+    each other: one of them stays in each component, the smallest.
     """
-    found = near_duplicates(documents, id_column, text_column).where("doc_id IS NOT NULL")
+    prints = fingerprints(documents, id_column, text_column, digests=True)
+    found = settle(prints, "simhash-prints")
+    rooted = found.join(_groups(found).select("fp", "root"), "fp")
+    texts = settle(
+        rooted.groupBy("root", "doc_id", "digest").agg(F.count("*").alias("rows")), "simhash-texts"
+    )
+    # the least doc_id of each component, and null where it has rows without one
+    least = (
+        texts.groupBy("root", "doc_id")
+        .agg(F.sum("rows").alias("times"))
+        .groupBy(F.col("root").alias("in_root"), F.col("doc_id").isNull())
+        .agg(F.min(F.struct("doc_id", "times")).alias("first"))
+        .select("in_root", F.col("first.doc_id").alias("kept"), F.col("first.times").alias("times"))
+    )
+    here = (F.col("root") == F.col("in_root")) & F.col("doc_id").eqNullSafe(F.col("kept"))
     kept = settle(
-        found.groupBy("doc_id")
-        .agg(F.min("component_id").alias("first"), F.count("*").alias("times"))
-        .where("first = doc_id")
-        .select(F.col("doc_id").alias("kept"), "times"),
+        texts.join(least, here).select("in_root", "kept", F.col("digest").alias("kept_digest"), "times"),
         "simhash-kept",
     )
     rows = documents.select(F.struct("*").alias("row"))
     key = F.col(f"row.`{id_column}`").cast("long")
-    named = rows.join(kept, key == F.col("kept"))
+    named = rows.join(
+        kept, key.eqNullSafe(F.col("kept")) & (_digest(F.col(f"row.`{text_column}`")) == F.col("kept_digest"))
+    )
     once = named.where("times = 1").select("row.*")
     if kept.where("times > 1").isEmpty():
-        least = []
-    else:
-        many = named.where("times > 1").groupBy("kept").agg(F.min("row").alias("row"))
-        least = [many.select("row.*")]
-    for more in [*least, rows.where(key.isNull()).select("row.*")]:
-        once = once.unionByName(more)
-    return once
+        return once
+    many = named.where("times > 1").groupBy("in_root", "kept").agg(F.min("row").alias("row"))
+    return once.unionByName(many.select("row.*"))

@@ -118,6 +118,16 @@ def test_one_of_each_keeps_columns_and_first_rows(spark):
     )
 
 
+def test_one_of_each_tells_rows_with_one_id_apart(spark):
+    a, b, c = "the first text of all", "an altogether different second text", "words that nobody else has"
+    rows = [(5, a, "x"), (7, a, "x"), (9, a, "x"), (2, b, "x"), (5, b, "x")]  # (5, a) stands for 7 and 9
+    rows += [(1, c, "x"), (1, "unrelated to it in every way", "x")]  # one id is the least of two components
+    rows += [(None, "seen without any id here", "x"), (None, "seen without any id here", "y"), (None, None, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    wanted = [rows[i] for i in (0, 3, 5, 6, 7, 9)]
+    assert sorted(map(tuple, nd.one_of_each(frame).collect()), key=repr) == sorted(wanted, key=repr)
+
+
 def test_no_rows(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert nd.near_duplicates(frame).count() == 0
