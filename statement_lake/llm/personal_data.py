@@ -16,8 +16,18 @@ CARD_LIKELY = r"[0-9](?:[\x20-]?[0-9]){13}"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BASE_KINDS = ("email", "ip", "card", "phone")
 
-#: Further kinds: pattern, the score that the pattern alone earns.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Further kinds: pattern, the score that the pattern alone earns.  Of account numbers the
+#: pattern is the head alone, so that each begins anew whatever stands before it.
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"
+IBAN_LEAST, IBAN_MOST = 15, 34
+#: Lengths of account numbers and the countries that have them; all lengths are tried for others.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 LOCAL = r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9-])"
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 SCORES = {"iban": 0.9, "local": 0.4, "social": 0.4}
@@ -28,7 +38,8 @@ FOR = {
     "social": r"(?i)ssn|social|security|tax|insurance",
 }
 AGAINST = r"(?i)order|invoice|version|isbn|serial|part\s*no|article"
-#: Characters before a span that are searched for them, what they add or take, and what a span needs.
+#: Characters before and behind a span that are searched for them (for what speaks against it: before it
+#: alone, where numbers are named), what they add or take, and what a span needs.
 WINDOW, ADDED, TAKEN, NEEDED = 40, 0.3, 0.3, 0.6
 
 
@@ -60,6 +71,45 @@ def mod97(account: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), step) == 1
 
 
+def _accounts(text: Column) -> Column:
+    """Account numbers that pass mod 97, as an array of (start, size, text).
+
+    A number has its country's length and ends at a word's end; of several
+    lengths the longest that passes.
+    """
+    known = F.create_map(
+        *[F.lit(x) for size, names in IBAN_LENGTHS.items() for name in names.split() for x in (name, size)]
+    )
+    every = F.sequence(F.lit(IBAN_MOST), F.lit(IBAN_LEAST))
+
+    def whole(m: Column) -> Column:
+        after = F.substring(text, (m["start"] + 1).cast("int"), F.lit(2 * IBAN_MOST))
+        size = known[F.substring(m["text"], 1, 2)]
+
+        def cut(rest: Column, n: Column) -> Column:
+            more = F.concat(
+                F.lit(r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){"), (n - 4).cast("string"), F.lit(r"}(?![A-Za-z0-9])")
+            )
+            return F.call_function("regexp_extract", rest, more, F.lit(0))
+
+        sizes = F.when(size.isNotNull(), F.array(size)).otherwise(every)
+        passing = let(
+            after,
+            lambda rest: F.filter(
+                F.transform(sizes, lambda n: cut(rest, n)),
+                lambda t: F.when(t == "", F.lit(False)).otherwise(mod97(F.replace(t, F.lit(" "), F.lit("")))),
+            ),
+        )
+        return let(
+            F.get(passing, 0),
+            lambda t: F.struct(
+                m["start"].alias("start"), F.length(t).cast("bigint").alias("size"), t.alias("text")
+            ),
+        )
+
+    return F.filter(F.transform(spans(text, IBAN), whole), lambda m: m["text"].isNotNull())
+
+
 def _is_card(text: Column) -> Column:
     return let(
         digits(text), lambda d: F.when(F.length(d).between(14, 19), luhn(d)).otherwise(F.lit(False))
@@ -72,14 +122,15 @@ def _is_ip(text: Column) -> Column:
 
 
 def _near(text: Column, matches: Column, kind: str) -> Column:
-    """The matches whose score, adjusted by the words before them, is enough."""
+    """The matches whose score, adjusted by the words around them, is enough."""
 
     def enough(m: Column) -> Column:
         begin = F.greatest(m["start"] - WINDOW, F.lit(0))
         before = F.substring(text, (begin + 1).cast("int"), (m["start"] - begin).cast("int"))
+        behind = F.substring(text, (m["start"] + m["size"] + 1).cast("int"), F.lit(WINDOW))
         score = (
             F.lit(SCORES[kind])
-            + F.when(before.rlike(FOR[kind]), ADDED).otherwise(0.0)
+            + F.when(before.rlike(FOR[kind]) | behind.rlike(FOR[kind]), ADDED).otherwise(0.0)
             - F.when(before.rlike(AGAINST), TAKEN).otherwise(0.0)
         )
         return score >= NEEDED
@@ -118,12 +169,8 @@ def find_personal_data(
         ),
     }
     whole = lambda t: F.lit(True)
-    bare = lambda t: F.regexp_replace(t, " ", "")
     more = {
-        "iban": kept(
-            _near(body, spans(body, IBAN), "iban"), "iban", 4,
-            lambda t: let(bare(t), lambda a: F.length(a).between(15, 34) & mod97(a)),
-        ),
+        "iban": kept(_near(body, _accounts(body), "iban"), "iban", 4, whole),
         "local": kept(_near(body, spans(body, LOCAL), "local"), "local", 5, whole),
         "social": kept(_near(body, spans(body, SOCIAL), "social"), "social", 6, whole),
     }

@@ -132,6 +132,19 @@ def test_further_personal_data(spark):
     assert found == {1: "iban:6:28", 2: "", 3: "iban:4:31", 4: "local:5:17", 5: "", 6: "social:4:15", 7: ""}
 
 
+def test_account_numbers_end_at_their_length(spark):
+    texts = [
+        "DE89370400440532013000 BIC COBADEFFXXX", "GB82 WEST 1234 5698 7654 32 EUR 100", "DE89 3704 0044 0532 0130 00 2024",
+        "DE89370400440532013000 GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00 Then", "AT61 DE89 3704 0044 0532 0130 00",
+        "XX46 3704 0044 0532 0130 00 EUR 1", "DE89 3704 0044 0532 0130 01 EUR", "DE893704004405320130002024",
+        "212-555-1234 is my phone", "call 212-555-1234 to order", "123-45-6789 (SSN)",
+    ]
+    wanted = ["iban:0:22", "iban:0:27", "iban:0:27", "iban:0:22,iban:23:45", "iban:0:27", "iban:5:32", "iban:0:27", "", ""]
+    wanted += ["local:0:12", "local:5:17", "social:0:11"]
+    found = personal_data.find_personal_data(frame(spark, list(enumerate(texts)))).sort("doc_id").collect()
+    assert [r.spans for r in found] == wanted
+
+
 def test_random_strings_are_found_and_structured_ones_left(spark):
     random.seed(5)
     letters = string.ascii_letters + string.digits
