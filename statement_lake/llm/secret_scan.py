@@ -35,7 +35,7 @@ ENCODINGS = (
 #: Length classes begin here; steps of the p-value; share of false finds that is allowed.
 CLASSES, STEPS, FALSE_SHARE = (20, 28, 40, 64), 20, 0.05
 #: The highest step a cut-off may have, and the one where a class's own counts give none:
-#: random strings stay above it in nine cases of ten at least, however many others there are.
+#: random strings stay above it in some nine cases of ten, however many others there are.
 HIGHEST = 2
 
 
