@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import cache
-from itertools import chain
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -18,70 +19,195 @@ from pyspark.sql import functions as F
 from statement_lake.session import settle
 
 TOKENIZER, SEQUENCE, END_ID = "word_bpe_49k.json", 4096, 1
-#: Words, and parts of words, whose ids a Python worker remembers before it starts afresh.
-REMEMBERED = 1_000_000
+#: Bytes of words, and of parts of words, that a Python worker remembers.
+REMEMBERED = 96 << 20
+#: What an entry takes beside its two strings, about.
+ENTRY = 170
 #: Pieces that share a numbering bucket, about; buckets are what ranks are counted in.
 BUCKET_ROWS = 50_000
 #: Longest stretch of text without an ASCII blank that is remembered.
 WORD_BYTES = 64
 
-_words: dict[bytes, bytes] = {}
-_parts: dict[str, bytes] = {}
 #: Words of plain Latin characters: lower case and composition are letter by letter there.
 PLAIN = re.compile("[\x21-\x7e\xa1-\xff]+")
-#: How the tokenizer parts a word: a fixed pattern of its file.
-PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: The rules of a tokenizer file under which words can be encoded one by one (fixed values).
+WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+LINE_PART = regex.compile(r"\n|" + WORD_RULE)
+#: Between the ids of words: no four bytes of ids are all ones, as ids are below 2^24.
+END_OF_WORD = b"\xff\xff\xff\xff"
+BLANK = re.compile(rb"[\x20\t-\r]")
+#: Bytes of text whose words are looked up together.
+STRETCH = 1 << 17
+
+
+class Remembered:
+    """The entries used last, within a number of bytes (plus what one stretch of text needs).
+
+    Entries live in two halves; when the younger one is full it becomes the older
+    one, and what is asked for in the older one moves back.
+    """
 
+    def __init__(self, most: int):
+        self.half, self.size = most // 2, 0
+        self.young: dict = {}
+        self.old: dict = {}
 
-def _encoded(texts: list[str], tokenizer) -> list[bytes]:
-    found = tokenizer.encode_batch(texts, add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def absent(self, keys: set) -> list:
+        """The keys that have no entry; all others are among the young ones afterwards."""
+        keys = keys.difference(self.young)
+        back = {key: self.old[key] for key in keys if key in self.old}
+        self.put(back)
+        return list(keys.difference(back))
 
+    def put(self, entries: dict) -> None:
+        self.young |= entries
+        self.size += ENTRY * len(entries) + sum(map(len, entries)) + sum(map(len, entries.values()))
 
-@cache
-def _bytes_shown(tokenizer) -> dict[int, str]:
-    """How the tokenizer writes the bytes of each plain character."""
-    cut = tokenizer.pre_tokenizer.pre_tokenize_str
-    return {c: "".join(part for part, _ in cut(chr(c))) for c in range(0x21, 0x100)}
+    def age(self) -> None:
+        if self.size > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
 
 
-def _encoded_parts(parts: list[str], tokenizer) -> list[bytes]:
-    """Ids of parts of plain words, straight from the tokenizer's merges."""
-    model, shown = tokenizer.model, _bytes_shown(tokenizer)
-    found = [model.tokenize(p if p.isascii() else p.translate(shown)) for p in parts]
-    return [np.array([t.id for t in tokens], "<u4").tobytes() for tokens in found]
+class Encoder:
+    """Token ids of texts by one tokenizer file, as the file alone gives them."""
 
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        from tokenizers import Tokenizer
 
-def token_ids(text: bytes, tokenizer) -> bytes:
-    """The ids of a text as unsigned little-endian 32-bit numbers.
-
-    This tokenizer makes white space part of no token, joins nothing over it and
-    treats each stretch by itself, so a word's ids never depend on its
-    neighbours.  Within plain words the same holds for the parts it cuts them
-    into.  Words and parts are encoded once and remembered.
-    """
-    words = text.split()
-    try:
-        return b"".join([_words[w] for w in words])
-    except KeyError:
-        pass
-    for held in (_words, _parts):
-        if len(held) > REMEMBERED:
-            held.clear()
-    cut, other = {}, []
-    for word in dict.fromkeys(words):
-        if word not in _words:
-            shown = word.decode()
-            if len(word) <= WORD_BYTES and PLAIN.fullmatch(shown):
-                cut[word] = PART.findall(shown.lower())
-            else:
-                other.append(word)
-    new = [p for p in dict.fromkeys(chain.from_iterable(cut.values())) if p not in _parts]
-    _parts.update(zip(new, _encoded_parts(new, tokenizer)))
-    fresh = {word: b"".join([_parts[p] for p in parts]) for word, parts in cut.items()}
-    fresh.update(zip(other, _encoded([w.decode() for w in other], tokenizer)))
-    _words.update((w, ids) for w, ids in fresh.items() if len(w) <= WORD_BYTES)
-    return b"".join([fresh[w] if w in fresh else _words[w] for w in words])
+        self.path = path
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        self.added = [t["content"] for t in rules.get("added_tokens") or []]
+        self.word_by_word = self._parts_words(rules)
+        self.words, self.parts = Remembered(remembered // 2), Remembered(remembered // 2)
+        self.shown: dict[int, str] = {}
+        if self.word_by_word:
+            # how the tokenizer writes the bytes of each plain character
+            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            self.shown = {c: "".join(part for part, _ in cut(chr(c))) for c in range(0x21, 0x100)}
+
+    @staticmethod
+    def _parts_words(rules: dict) -> bool:
+        """White space is part of no token and nothing is joined over it."""
+        try:
+            steps = rules["pre_tokenizer"]["pretokenizers"]
+            plain = (
+                [n["type"] for n in rules["normalizer"]["normalizers"]] == WORD_NORMALIZERS
+                and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+                and steps[0]["pattern"]["Regex"] == WORD_RULE
+                and (steps[0]["behavior"], steps[0]["invert"]) == ("Removed", True)
+                and not steps[1]["add_prefix_space"]
+                and rules["model"]["type"] == "BPE"
+            )
+        except (KeyError, TypeError):
+            return False
+        alone = ("lstrip", "rstrip", "single_word", "normalized")
+        added = rules.get("added_tokens") or []
+        return plain and not any(
+            any(t[flag] for flag in alone) or any(c.isspace() for c in t["content"]) for t in added
+        )
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _merged(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of plain words, straight from the tokenizer's merges."""
+        model = self.tokenizer.model
+        found = [model.tokenize(p if p.isascii() else p.translate(self.shown)) for p in parts]
+        return [array("I", [t.id for t in tokens]).tobytes() for tokens in found]
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Remember the ids of new words; returns those that should be forgotten again."""
+        shown = [word.decode() for word in words]
+        simple = [len(w) <= WORD_BYTES and bool(PLAIN.fullmatch(w)) for w in shown]
+        for token in self.added:
+            if any(token in w for w in shown):
+                simple = [plain and token not in w for plain, w in zip(simple, shown)]
+        plain = list(compress(words, simple))
+        other = [n for n, is_plain in enumerate(simple) if not is_plain]
+        if plain:
+            # one search over all of them; a line feed ends a word
+            cut = LINE_PART.findall("\n".join(compress(shown, simple)).lower())
+            new = self.parts.absent(set(cut) - {"\n"})
+            self.parts.put(dict(zip(new, self._merged(new))))
+            held = self.parts.young
+            held["\n"] = END_OF_WORD
+            ids = b"".join([held[p] for p in cut]).split(END_OF_WORD)
+            self.words.put(dict(zip(plain, ids)))
+            self.parts.age()
+        self.words.put({words[n]: ids for n, ids in zip(other, self._whole([shown[n] for n in other]))})
+        return [words[n] for n in other if len(words[n]) > WORD_BYTES]
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text as unsigned little-endian 32-bit numbers.
+
+        Where the file's rules treat each stretch without white space by itself, a
+        word's ids never depend on its neighbours, and within plain words the same
+        holds for the parts it is cut into: words and parts are encoded once and
+        remembered.  A word that holds one of the file's added tokens goes through
+        the tokenizer, and so does the whole text under other rules.
+        """
+        if not self.word_by_word:
+            return self._whole([text.decode() for text in texts])
+        found: list[list[bytes]] = [[] for _ in texts]
+        for some in stretches(texts):
+            words = [(number, part.split()) for number, part in some]
+            new = self.words.absent({w for _, listed in words for w in listed})
+            long = self._learn(new) if new else []
+            held = self.words.young
+            for number, listed in words:
+                found[number].append(b"".join([held[w] for w in listed]))
+            for word in long:
+                del held[word]
+            self.words.age()
+        return [b"".join(parts) for parts in found]
+
+
+def stretches(texts: list[bytes], size: int = STRETCH) -> Iterator[list[tuple[int, bytes]]]:
+    """Texts in groups of about `size` bytes, (number, part); longer texts are cut at blanks."""
+    group: list[tuple[int, bytes]] = []
+    held = 0
+    for number, text in enumerate(texts):
+        at = 0
+        while True:
+            blank = BLANK.search(text, at + size - held) if len(text) - at > size - held else None
+            end = blank.end() if blank else len(text)
+            group.append((number, text[at:end]))
+            held, at = held + end - at, end
+            if held >= size:
+                yield group
+                group, held = [], 0
+            if at >= len(text):
+                break
+    if group:
+        yield group
+
+
+_encoder: Encoder | None = None
+
+
+def encoder(path: str) -> Encoder:
+    """This worker's encoder; it holds the one of the last file asked for."""
+    global _encoder
+    if _encoder is None or _encoder.path != path:
+        _encoder = Encoder(path)
+    return _encoder
+
+
+def groups(column: pa.Array, size: int = 64 * STRETCH) -> Iterator[tuple[int, list[bytes]]]:
+    """(number of the first, texts): a batch's texts, some `size` bytes at a time."""
+    texts, held, first = [], 0, 0
+    for number, text in enumerate(column):
+        texts.append(text.as_py())
+        held += len(texts[-1])
+        if held >= size:
+            yield first, texts
+            texts, held, first = [], 0, number + 1
+    if texts:
+        yield first, texts
 
 
 def pieces(
@@ -91,18 +217,17 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        encode = encoder(tokenizer_path).ids
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = token_ids(text.as_py(), tokenizer) + end
-                for number, at in enumerate(range(0, len(ids), 4 * length)):
-                    part = memoryview(ids)[at : at + 4 * length]
-                    rows.append((doc, number, at // 4, len(part) // 4, zlib.crc32(part)))
+            docs = batch.column("doc_id").to_pylist()
+            for first, texts in groups(batch.column("text")):
+                for doc, found in zip(docs[first : first + len(texts)], encode(texts)):
+                    ids = found + end
+                    for number, at in enumerate(range(0, len(ids), 4 * length)):
+                        part = memoryview(ids)[at : at + 4 * length]
+                        rows.append((doc, number, at // 4, len(part) // 4, zlib.crc32(part)))
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = zip(*rows) if rows else [[]] * 5

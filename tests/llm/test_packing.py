@@ -53,7 +53,6 @@ def test_plan_equals_best_fit_one_by_one(counts, capacity):
 
 def expected_pieces(rows, length):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     out = []
     for doc, text in rows:
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
@@ -88,15 +87,49 @@ def test_pieces_and_places(spark, length):
     assert len(used) == len(one_by_one([r.length for r in found], length))
 
 
-def test_remembered_words_equal_the_tokenizer():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
+@pytest.mark.parametrize("remembered", [packing.REMEMBERED, 20_000])
+def test_remembered_words_equal_the_tokenizer(remembered):
+    """10,000 texts with added tokens in them, against a tokenizer fresh from the file."""
+    tokenizer, found = Tokenizer.from_file(PATH), packing.Encoder(PATH, remembered)
+    assert found.word_by_word
     random = np.random.default_rng(6)
-    letters = list("aZé'sß.9²½ªµ-ÀÿÑ\xa0\x85\x1c\xadﬁ°Σςİ́ \n")
-    for _ in range(3000):
-        text = "".join(random.choice(letters, random.integers(0, 30)))
+    bits = [*"aZé'sß.9²½ªµ-ÀÿÑ\xa0\x85\x1c\xadﬁ°Σςİ́ \n<|>", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>"]
+    for _ in range(10_000):
+        text = "".join(bits[i] for i in random.integers(0, len(bits), random.integers(0, 30)))
         ids = tokenizer.encode(text, add_special_tokens=False).ids
-        assert packing.token_ids(text.encode(), tokenizer) == np.array(ids, "<u4").tobytes(), repr(text)
+        assert found.ids([text.encode()]) == [np.array(ids, "<u4").tobytes()], repr(text)
+
+
+def test_other_files_are_read_by_their_own_rules():
+    """A second file in one worker gets its own ids, whatever the first one remembered."""
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    text = "Hello,  World! it's 12.5 <|endoftext|> é"
+    for path in (PATH, other, PATH):
+        ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+        assert packing.encoder(path).ids([text.encode()]) == [np.array(ids, "<u4").tobytes()]
+    assert not packing.Encoder(other).word_by_word
+
+
+def test_what_is_remembered_is_bounded():
+    held = packing.Remembered(100_000)
+    for i in range(5_000):
+        held.put({f"word{i}": b"1234"})
+        held.age()
+    assert len(held.young) + len(held.old) <= 100_000 // packing.ENTRY
+    assert held.absent({"word4999", "word0"}) == ["word0"]
+
+
+def test_stretches_keep_every_byte():
+    random = np.random.default_rng(2)
+    for _ in range(200):
+        texts = [bytes(random.choice(list(b"ab \n"), random.integers(0, 40))) for _ in range(8)]
+        found = [b""] * len(texts)
+        for some in packing.stretches(texts, 16):
+            for number, part in some:
+                found[number] += part
+        assert found == texts
+        words = [w for some in packing.stretches(texts, 16) for _, part in some for w in part.split()]
+        assert words == [w for text in texts for w in text.split()]
 
 
 def test_no_rows(spark):
