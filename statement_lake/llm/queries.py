@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statement_lake.llm import (
-    language, language_model, mixture, near_duplicates, neighbours, packing, personal_data,
-    secret_scan, top_k, warc,
+    divergence, fill_in_middle, language, language_model, mixture, near_duplicates, neighbours,
+    packing, personal_data, secret_scan, top_k, warc,
 )
 from statement_lake.session import scratch_path
 
@@ -73,6 +73,18 @@ def op10_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), *mixture.LEVELS, "tokens", "epoch")
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fill_in_middle.fill_in_middle(table(spark, folder, "documents"))
+    return fill_in_middle.restore(cut).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_top_k": op1_exact_top_k,
@@ -85,6 +97,8 @@ def queries() -> dict[str, Query]:
         "op8_personal_data": op8_personal_data,
         "op9_nearest_neighbours": op9_nearest_neighbours,
         "op10_source_mixture": op10_source_mixture,
+        "op11_source_divergence": op11_source_divergence,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
@@ -189,5 +203,85 @@ SELECT doc_id, domain, lang, source, tokens, whole + 1 FROM run WHERE rest > 0 A
 )
 
 
+OP11 = """
+WITH read AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         list_transform(
+           regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+'),
+           lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS terms
+  FROM documents
+), kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM read)
+  GROUP BY lang, term HAVING count(*) >= 10
+), grouped AS (
+  SELECT DISTINCT lang, source FROM read
+), used AS (
+  SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM read)
+  GROUP BY lang, source, term
+), filled AS (
+  SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n
+  FROM grouped g JOIN kept k USING (lang) LEFT JOIN used u USING (lang, source, term)
+), shares AS (
+  SELECT lang, source, term, n, CAST(1 + (1000000000::HUGEINT * (n + 2))
+           // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS BIGINT) AS p
+  FROM filled
+), wholes AS (
+  SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (n + 2))
+           // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS BIGINT) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM filled GROUP BY lang, term)
+), pairs AS (
+  SELECT g.lang, g.source, o.source AS item,
+         coalesce((SELECT CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT)
+                   FROM shares a JOIN shares b USING (lang, term)
+                   WHERE a.lang = g.lang AND a.source = g.source AND b.source = o.source), 0) AS value
+  FROM grouped g JOIN grouped o ON g.lang = o.lang AND g.source <> o.source
+), own AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM shares JOIN wholes USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, 'pair' AS part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value,
+         CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM own) WHERE rank <= 10
+"""
+
+OP13 = """
+WITH read AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+') AS lines,
+         ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM read
+), cut AS (
+  SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a,
+         greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parted AS (
+  SELECT *, array_to_string(lines[1:a], '') AS prefix, array_to_string(lines[a + 1:b], '') AS middle,
+         array_to_string(lines[b + 1:], '') AS suffix
+  FROM cut
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parted
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_top_k": OP1, "op3_warc": OP3, "op10_source_mixture": OP10}
+    return {
+        "op1_exact_top_k": OP1, "op3_warc": OP3, "op10_source_mixture": OP10,
+        "op11_source_divergence": OP11, "op13_fill_in_middle": OP13,
+    }
