@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statement_lake.llm import (
-    divergence, fill_in_middle, language, language_model, mixture, near_duplicates, neighbours,
-    packing, personal_data, secret_scan, top_k, warc,
+    divergence, fill_in_middle, html_extraction, language, language_model, mixture, near_duplicates,
+    neighbours, packing, personal_data, secret_scan, top_k, warc,
 )
 from statement_lake.session import scratch_path
 
@@ -77,6 +77,10 @@ def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract(table(spark, folder, "pages"))
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     cut = fill_in_middle.fill_in_middle(table(spark, folder, "documents"))
     return fill_in_middle.restore(cut).select(
@@ -98,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op9_nearest_neighbours": op9_nearest_neighbours,
         "op10_source_mixture": op10_source_mixture,
         "op11_source_divergence": op11_source_divergence,
+        "op12_html_extraction": op12_html_extraction,
         "op13_fill_in_middle": op13_fill_in_middle,
     }
 
