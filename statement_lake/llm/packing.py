@@ -20,7 +20,7 @@ from statement_lake.session import settle
 
 TOKENIZER, SEQUENCE, END_ID = "word_bpe_49k.json", 4096, 1
 #: Bytes of words, and of parts of words, that a Python worker remembers.
-REMEMBERED = 96 << 20
+REMEMBERED = 144 << 20
 #: What an entry takes beside its two strings, about.
 ENTRY = 170
 #: Pieces that share a numbering bucket, about; buckets are what ranks are counted in.
