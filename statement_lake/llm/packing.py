@@ -20,7 +20,7 @@ from statement_lake.session import settle
 
 TOKENIZER, SEQUENCE, END_ID = "word_bpe_49k.json", 4096, 1
 #: Bytes of words, and of parts of words, that a Python worker remembers.
-REMEMBERED = 144 << 20
+REMEMBERED = 128 << 20
 #: What an entry takes beside its two strings, about.
 ENTRY = 170
 #: Pieces that share a numbering bucket, about; buckets are what ranks are counted in.
@@ -68,6 +68,10 @@ class Remembered:
         if self.size > self.half:
             self.old, self.young, self.size = self.young, {}, 0
 
+    def shrink(self) -> None:
+        """Keep the younger half; the worker may serve other stages next."""
+        self.old = {}
+
 
 class Encoder:
     """Token ids of texts by one tokenizer file, as the file alone gives them."""
@@ -217,7 +221,8 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = encoder(tokenizer_path).ids
+        held = encoder(tokenizer_path)
+        encode = held.ids
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
@@ -232,6 +237,8 @@ def pieces(
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = zip(*rows) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        held.words.shrink()
+        held.parts.shrink()
 
     rows = documents.select(
         F.col(id_column).cast("long").alias("doc_id"),
