@@ -25,13 +25,13 @@ from statement_lake.session import settle
 #: Documents of a language that a term must be in; terms that are listed for a group.
 LEAST_DOCUMENTS, TOP_TERMS = 10, 10
 #: Kept terms in a perfect hash, about.
-SHARD_TERMS = 50_000
+SHARD_TERMS = 20_000
 #: Bytes of perfect hashes that are broadcast at a time; more of them take more passes.
 BROADCAST_BYTES = 64 << 20
 #: Distinct terms that a task counts before it hands them on, and dense slots it holds.
-HELD_TERMS, HELD_SLOTS = 1 << 18, 1 << 22
+HELD_TERMS, HELD_SLOTS = 1 << 19, 1 << 23
 #: Cells of a block of (sources x terms) that is compared at once.
-CELLS = 1 << 20
+CELLS = 1 << 17
 #: Numbers are this many parts of the whole.
 PARTS = 1_000_000_000
 #: Runs of ASCII letters and of all that is not ASCII, in UTF-8.
@@ -162,23 +162,31 @@ def _recount(rows: DataFrame, shards: list) -> DataFrame:
         held = 0
 
         def increment() -> None:
-            for (lang, source), own in found.items():
+            for lang in {lang for lang, _ in found}:
+                own = {source: counter for (of, source), counter in found.items() if of == lang}
                 many, payloads = shipped.value[lang]
                 if lang not in opened:
                     opened[lang] = {s: pickle.loads(payload) for s, payload in payloads.items()}
-                keys = list(own)
+                # each term of the language is looked up once, whatever the sources that have it
+                keys = list(set().union(*own.values()))
                 h = hashes(keys)
-                n = np.fromiter(own.values(), np.int64, len(keys))
                 shard_of = h % many
+                shard_at, slot_at = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
                 for shard, table in opened[lang].items():
                     here = np.flatnonzero(shard_of == shard)
-                    at = table.slots([keys[i] for i in here.tolist()], h[here])
-                    known = at >= 0
-                    if known.any():
-                        key = (lang, source, shard)
-                        if key not in slots:
-                            slots[key] = np.zeros(len(table), np.int64)
-                        slots[key][at[known]] += n[here[known]]
+                    slot = table.slots([keys[i] for i in here.tolist()], h[here])
+                    shard_at[here], slot_at[here] = np.where(slot >= 0, shard, -1), slot
+                number = {key: i for i, key in enumerate(keys)}
+                for source, counter in own.items():
+                    at = np.fromiter(map(number.__getitem__, counter), np.int64, len(counter))
+                    n = np.fromiter(counter.values(), np.int64, len(counter))
+                    for shard, table in opened[lang].items():
+                        known = np.flatnonzero(shard_at[at] == shard)
+                        if len(known):
+                            key = (lang, source, shard)
+                            if key not in slots:
+                                slots[key] = np.zeros(len(table), np.int64)
+                            slots[key][slot_at[at[known]]] += n[known]
             found.clear()
 
         def told() -> Iterator[pa.RecordBatch]:
@@ -229,8 +237,9 @@ def share(count: Column, total: Column, kept: Column) -> Column:
         return value.cast("decimal(20,0)")
 
     above = wide(count + 2) * F.lit(PARTS).cast("decimal(10,0)")
-    below = wide(total + 2 * kept)
-    return 1 + F.call_function("div", above, below)
+    below = total + 2 * kept
+    short = F.call_function("div", (count + 2) * F.lit(PARTS), below)
+    return 1 + F.when(count < 9 * PARTS, short).otherwise(F.call_function("div", above, wide(below)))
 
 
 def shares(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
