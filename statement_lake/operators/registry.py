@@ -76,12 +76,8 @@ def earliest_symbols(registry: DataFrame, key: str, ignore_blank: bool = False)
         F.min("first_seen").alias("_root_date"),
         F.min_by("symbol", F.struct("first_seen", F.col("symbol").isNull(), "symbol")).alias("_root"),
     )
-    return (
-        dated.join(settle(roots, "roots"), key)
-        .where(F.col("first_seen") > F.col("_root_date"))
-        .select(key, "symbol", "_root")
-        .distinct()
-    )
+    last = dated.groupBy(key, "symbol").agg(F.max("first_seen").alias("_last"))
+    return last.join(roots, key).where("_last > _root_date").select(key, "symbol", "_root")
 
 
 def _open_rows(registry: DataFrame) -> DataFrame:

@@ -14,9 +14,12 @@ from statement_lake.session import settle
 
 
 def replace_by_hash(stored: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """Stored rows whose content the batch does not deliver again, and the whole batch."""
-    delivered = settle(batch.select(column).distinct(), "delivered")
-    return stored.join(delivered, column, "left_anti").unionByName(batch)
+    """Stored rows whose content the batch does not deliver again, and the whole batch.
+
+    ``batch`` should be settled: it is read twice, and its hashes are joined as
+    they are, which keeps the shape whose skewed partitions are split.
+    """
+    return stored.join(batch.select(column), column, "left_anti").unionByName(batch)
 
 
 def replace_dates(stored: DataFrame, batch: DataFrame, date: str, column: str) -> DataFrame:
@@ -73,6 +76,20 @@ def last_file_by_hash(rows: DataFrame, column: str, order: str = "file_order") -
     return rows.join(last, [column, order], "left_semi")
 
 
+def last_file_copies(
+    rows: DataFrame, column: str, columns: list[str], order: str = "file_order"
+) -> DataFrame:
+    """The same for a hash over all of the content: rows of one hash are copies of each other.
+
+    Copies are counted per file, combined before the shuffle, and the copies of
+    the last file are one row repeated as often; nothing is joined.
+    """
+    content = F.struct(*columns).alias("_row")
+    per_file = rows.groupBy(column, order).agg(F.count("*").alias("_n"), F.any_value(content).alias("_row"))
+    last = per_file.groupBy(F.col(column).alias("_of")).agg(F.max_by(F.struct("_n", "_row"), order).alias("_last"))
+    return last.select(F.explode(F.array_repeat("_last._row", F.col("_last._n").cast("int"))).alias("_row")).select("_row.*")
+
+
 def last_file_by_date(
     rows: DataFrame, date: str, column: str, order: str = "file_order"
 ) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,20 +15,19 @@ from statement_lake.operators.obfuscate import distinct_symbols, obfuscate, symb
 from statement_lake.operators.registry import (
     REGISTRY_SCHEMA,
     candidates,
-    canonical,
     dictionary,
     map_by,
     register,
     resolve,
 )
-from statement_lake.operators.snapshot import batch_summary, in_order, latest_snapshot
+from statement_lake.operators.snapshot import batch_summary
 from statement_lake.plans import stand_ins as base
 from statement_lake.plans.lake import Lake
-from statement_lake.plans.marts import extend_registry
+from statement_lake.plans.marts import extend_registry, mart
 from statement_lake.plans.pipeline import Phases, refresh
 from statement_lake.session import scratch_path, settle
 from statement_lake.sources import specs
-from statement_lake.sources.bars import normalize_bars, trailing_bars
+from statement_lake.sources.bars import BarFiles, normalize_bars, trailing_bars
 from statement_lake.sources.specs import SourceSpec
 from statement_lake.sources.statements import admits_detail, ingest
 from statement_lake.sources.triage import request_verdict, statement_verdict
@@ -40,8 +39,17 @@ FACTOR = 2.5
 NOW = dt.datetime(2024, 3, 1)
 
 
-def _month_file(date: str) -> Column:
-    return F.coalesce(F.date_format(date, "yyyyMM"), F.lit("undated"))
+#: Records of a statement file, about.
+FILE_ROWS = 20_000
+
+
+def _month_file(rows: DataFrame, date: str) -> Column:
+    """File of a record: month of its date, and as many files a month as the rows ask for."""
+    month = F.coalesce(F.date_format(date, "yyyyMM"), F.lit("undated"))
+    most = rows.groupBy(month).count().agg(F.max("count")).first()[0] or 0
+    buckets = -(-most // FILE_ROWS) or 1
+    bucket = F.pmod(F.xxhash64(*rows.columns), F.lit(buckets)).cast("string")
+    return F.concat(month, F.lit("-"), bucket)
 
 
 def hashed(rows: DataFrame) -> DataFrame:
@@ -153,9 +161,9 @@ def admit_detail_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _statement_folder(spark: SparkSession, rows: DataFrame, spec: SourceSpec) -> str:
-    """Statement files of the rows, one per month of the source's date."""
+    """Statement files of the rows, by month of the source's date."""
     folder = scratch_path(spark, f"statements-{spec.name}")
-    base.write_statements(rows, spec.element, _month_file(spec.date), folder)
+    base.write_statements(rows, spec.element, _month_file(rows, spec.date), folder)
     return folder
 
 
@@ -281,6 +289,19 @@ def bulk_last_file_wins(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.last_file_by_hash(rows, "content").select("content", "file_order", "l_orderkey")
 
 
+def bulk_last_file_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Trades that several files deliver, by the hash of their content: the last file's copies stay.
+
+    Every trade is in the file of its kind, and every third order in a later one
+    as well, twice.
+    """
+    trades = hashed(base.trades(spark, folder))
+    first = trades.withColumn("file_order", F.concat(F.lit("file-"), "transactionType"))
+    later = trades.where("tradeID % 3 = 0").withColumn("file_order", F.lit("later"))
+    rows = first.unionByName(later).unionByName(later)
+    return upsert.last_file_copies(rows, "h", trades.columns)
+
+
 def bulk_last_file_by_key(spark: SparkSession, folder: str) -> DataFrame:
     rows = hashed(base.account_nav(spark, folder)).withColumn("file_order", F.col("currency"))
     last = upsert.last_file_by_key(rows, ["accountId", "reportDate"], "h")
@@ -326,15 +347,19 @@ def _folded(spark: SparkSession, sources: dict[SourceSpec, DataFrame]) -> DataFr
     return registry
 
 
+def _cash(spark: SparkSession, folder: str) -> DataFrame:
+    """Cash movements as bronze admits them."""
+    return base.cash_transactions(spark, folder).where(admits_detail(F.col("levelOfDetail")))
+
+
 def registry_fold(spark: SparkSession, folder: str) -> DataFrame:
-    cash = base.cash_transactions(spark, folder).where(admits_detail(F.col("levelOfDetail")))
     return _folded(
         spark,
         {
             specs.TRADES: base.trades(spark, folder),
             specs.CORPORATE_ACTIONS: base.corporate_actions(spark, folder),
             specs.POSITIONS: base.positions(spark, folder),
-            specs.CASH_TRANSACTIONS: cash,
+            specs.CASH_TRANSACTIONS: _cash(spark, folder),
         },
     )
 
@@ -346,57 +371,49 @@ def symbol_dictionary(spark: SparkSession, folder: str) -> DataFrame:
 # -- marts -----------------------------------------------------------------------------
 
 
-def _canonical(rows: DataFrame, spark: SparkSession, folder: str, columns: str) -> DataFrame:
-    registry = _folded(
-        spark,
-        {
-            specs.TRADES: base.trades(spark, folder),
-            specs.POSITIONS: base.positions(spark, folder),
-        },
-    )
-    return canonical(rows, registry).select(*columns.split())
-
-
-TRADE_MART = "symbol assetCategory reportDate transactionType quantity tradePrice taxes"
+def _mart(dataset_id: str, rows: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """A dataset in full width over stand-in rows."""
+    spec, definition = next((s, m) for s in specs.SOURCES for m in s.marts if m.dataset_id == dataset_id)
+    return mart(definition, spec, base.whole(rows, spec), registry)
 
 
 def trades_history(spark: SparkSession, folder: str) -> DataFrame:
-    return _canonical(base.trades(spark, folder), spark, folder, TRADE_MART)
+    return _mart("trades_history", base.trades(spark, folder), registry_fold(spark, folder))
 
 
 def corporate_actions_history(spark: SparkSession, folder: str) -> DataFrame:
-    columns = (
-        "symbol assetCategory reportDate type code quantity value description actionDescription"
-    )
-    return _canonical(base.corporate_actions(spark, folder), spark, folder, columns)
+    rows = base.corporate_actions(spark, folder)
+    return _mart("corporate_actions_history", rows, registry_fold(spark, folder))
 
 
 def cash_transactions_history(spark: SparkSession, folder: str) -> DataFrame:
-    columns = "symbol currency description reportDate amount"
-    cash = base.cash_transactions(spark, folder).where(admits_detail(F.col("levelOfDetail")))
-    return _canonical(cash, spark, folder, columns)
+    return _mart("cash_transactions_history", _cash(spark, folder), registry_fold(spark, folder))
 
 
 def positions_history(spark: SparkSession, folder: str) -> DataFrame:
-    columns = "symbol reportDate position positionValue"
-    return _canonical(base.positions(spark, folder), spark, folder, columns)
+    return _mart("positions_history", base.positions(spark, folder), registry_fold(spark, folder))
 
 
 def positions_latest(spark: SparkSession, folder: str) -> DataFrame:
-    rows = base.positions(spark, folder)
-    return latest_snapshot(rows, "reportDate").select(
-        "symbol", "description", "reportDate", "position", "positionValue"
-    )
+    return _mart("positions_latest", base.positions(spark, folder))
 
 
 def account_nav_latest(spark: SparkSession, folder: str) -> DataFrame:
-    rows = latest_snapshot(_one_nav(base.account_nav(spark, folder)), "reportDate")
-    return rows.select("currency", "reportDate", "cash", "total")
+    return _mart("account_nav_latest", _one_nav(base.account_nav(spark, folder)))
 
 
 def account_nav_history(spark: SparkSession, folder: str) -> DataFrame:
-    rows = in_order(_one_nav(base.account_nav(spark, folder)), "accountId", "reportDate")
-    return rows.select("currency", "reportDate", "cash", "total")
+    return _mart("account_nav_history", _one_nav(base.account_nav(spark, folder)))
+
+
+def tickers_daily_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Bar files of all ticks, loaded, stored and published."""
+    files = scratch_path(spark, "bar-files")
+    base.write_bars(base.raw_bars(spark, folder), files)
+    root = scratch_path(spark, "lake")
+    inputs = {specs.TICKERS_DAILY.name: BarFiles(files, source="stand-in")}
+    _refreshed(spark, root, inputs, [specs.TICKERS_DAILY])
+    return Lake(spark, root).dataset("tickers_daily_history")
 
 
 # -- obfuscated copies -----------------------------------------------------------------
@@ -407,7 +424,8 @@ def _codes(spark: SparkSession, folder: str) -> DataFrame:
         distinct_symbols(
             {
                 "trades_history": base.trades(spark, folder),
-                "cash_transactions_history": base.cash_transactions(spark, folder),
+                "corporate_actions_history": base.corporate_actions(spark, folder),
+                "cash_transactions_history": _cash(spark, folder),
                 "positions_history": base.positions(spark, folder),
             }
         )
@@ -433,7 +451,7 @@ def obfuscate_company(spark: SparkSession, folder: str) -> DataFrame:
 
 def obfuscate_cash_text(spark: SparkSession, folder: str) -> DataFrame:
     columns = "symbol description reportDate amount"
-    rows = base.cash_transactions(spark, folder)
+    rows = _cash(spark, folder)
     return _obfuscated(rows, "cash_transactions_history", spark, folder, columns)
 
 
@@ -473,19 +491,63 @@ def manifest_latest(spark: SparkSession, folder: str) -> DataFrame:
 # -- whole lake ------------------------------------------------------------------------
 
 
-def lake_trades_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Statement files of two sources through bronze, registry and marts."""
-    rows = {
+def _statement_rows(spark: SparkSession, folder: str) -> dict[SourceSpec, DataFrame]:
+    return {
         specs.TRADES: base.trades(spark, folder),
+        specs.CORPORATE_ACTIONS: base.corporate_actions(spark, folder),
         specs.POSITIONS: base.positions(spark, folder),
+        specs.CASH_TRANSACTIONS: base.cash_transactions(spark, folder),
     }
-    inputs = {spec.name: _statement_folder(spark, df, spec) for spec, df in rows.items()}
-    root = scratch_path(spark, "lake")
-    outcomes = refresh(spark, root, inputs, Phases(), pattern="*.txt", sources=list(rows))
+
+
+def _refreshed(
+    spark: SparkSession, root: str, inputs: dict, sources: Sequence[SourceSpec], phases: Phases = Phases()
+) -> None:
+    outcomes = refresh(spark, root, inputs, phases, pattern="*.txt", sources=sources)
     failed = [outcome for outcome in outcomes if outcome.status != "ok"]
     if failed:
         raise RuntimeError(f"refresh failed: {failed}")
-    return Lake(spark, root).dataset("trades_history").select(*TRADE_MART.split())
+
+
+def lake_trades_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Statement files of four sources through bronze, registry and marts."""
+    rows = _statement_rows(spark, folder)
+    inputs = {spec.name: _statement_folder(spark, df, spec) for spec, df in rows.items()}
+    root = scratch_path(spark, "lake")
+    _refreshed(spark, root, inputs, list(rows))
+    return Lake(spark, root).dataset("trades_history")
+
+
+def _corrected_lake(spark: SparkSession, folder: str) -> Lake:
+    """A lake after two refreshes.
+
+    The second one brings options of the last two years under new symbols (as
+    cash movements, which name securities of any kind) and the last trades again
+    with other prices; most months stay as they are.
+    """
+    root = scratch_path(spark, "lake")
+    trades, cash = base.trades(spark, folder), base.renamed_cash(spark, folder)
+    loaded = {specs.TRADES: base.whole(base.with_fingerprint(trades), specs.TRADES)}
+    typed = {spec.name: df.select(*spec.schema.names) for spec, df in loaded.items()}
+    sources = [specs.TRADES, specs.CASH_TRANSACTIONS]
+    _refreshed(spark, root, typed, sources)
+    again = trades.where(F.col("tradeDate") >= F.lit(base.CORRECTED_FROM))
+    again = again.withColumn("tradePrice", F.col("tradePrice") * 2)
+    loaded = {
+        specs.TRADES: base.whole(base.with_fingerprint(again), specs.TRADES),
+        specs.CASH_TRANSACTIONS: base.whole(base.with_fingerprint(cash), specs.CASH_TRANSACTIONS),
+    }
+    typed = {spec.name: df.select(*spec.schema.names) for spec, df in loaded.items()}
+    _refreshed(spark, root, typed, sources)
+    return Lake(spark, root)
+
+
+def lake_registry_after_correction(spark: SparkSession, folder: str) -> DataFrame:
+    return _corrected_lake(spark, folder).registry()
+
+
+def lake_trades_after_correction(spark: SparkSession, folder: str) -> DataFrame:
+    return _corrected_lake(spark, folder).dataset("trades_history")
 
 
 def lake_reloaded_trades(spark: SparkSession, folder: str) -> DataFrame:
@@ -533,6 +595,7 @@ def queries() -> dict[str, Query]:
         "upsert_by_key": upsert_by_key,
         "upsert_bars": upsert_bars,
         "bulk_last_file_wins": bulk_last_file_wins,
+        "bulk_last_file_copies": bulk_last_file_copies,
         "bulk_last_file_by_key": bulk_last_file_by_key,
         "symbol_first_seen": symbol_first_seen,
         "register_corporate_actions": register_corporate_actions,
@@ -548,7 +611,7 @@ def queries() -> dict[str, Query]:
         "positions_latest": positions_latest,
         "account_nav_latest": account_nav_latest,
         "account_nav_history": account_nav_history,
-        "tickers_daily_history": bars,
+        "tickers_daily_history": tickers_daily_history,
         "symbol_codes": _codes,
         "obfuscate_trades": obfuscate_trades,
         "obfuscate_company": obfuscate_company,
@@ -559,6 +622,8 @@ def queries() -> dict[str, Query]:
         "last_run": last_run,
         "manifest_latest": manifest_latest,
         "lake_trades_history": lake_trades_history,
+        "lake_registry_after_correction": lake_registry_after_correction,
+        "lake_trades_after_correction": lake_trades_after_correction,
         "lake_reloaded_trades": lake_reloaded_trades,
         "folder_stream": folder_stream,
     }

@@ -7,10 +7,17 @@ row of a table becomes a record, so the work grows with the tables.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statement_lake.functions.fingerprint import fingerprint_of
+from statement_lake.sources.specs import SourceSpec
+
+
+#: Days from which the corrected lake has its second load.
+CASH_FROM, CORRECTED_FROM = dt.date(2000, 1, 1), dt.date(2001, 1, 1)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +36,12 @@ def tagged(prefix: str, *parts: str) -> Column:
     return F.concat(F.lit(prefix), *[F.col(part).cast("string") for part in parts])
 
 
+def whole(rows: DataFrame, spec: SourceSpec) -> DataFrame:
+    """The rows with all columns of their source; what the stand-in lacks is missing."""
+    absent = [field for field in spec.schema.fields if field.name not in rows.columns]
+    return rows.select("*", *[F.lit(None).cast(field.dataType).alias(field.name) for field in absent])
+
+
 def with_fingerprint(rows: DataFrame, column: str = "sourceHashHex") -> DataFrame:
     """Content hash over all columns as they are written to text."""
     return rows.withColumn(
@@ -134,9 +147,29 @@ def account_nav(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def renamed_cash(spark: SparkSession, folder: str) -> DataFrame:
+    """Cash movements that name the options traded since CASH_FROM, which no trade registers."""
+    day = F.col("l_shipdate").cast("date")
+    return (
+        table(spark, folder, "lineitem")
+        .where((F.col("l_returnflag") == "R") & (day >= F.lit(CASH_FROM)))
+        .select(
+            tagged("U", "l_suppkey").alias("accountId"),
+            F.lit("CUX").alias("currency"),
+            tagged("S", "l_suppkey").alias("symbol"),
+            F.concat(F.lit("D"), F.expr("l_partkey div 3").cast("string")).alias("description"),
+            F.col("l_partkey").alias("conid"),
+            day.alias("reportDate"),
+            F.col("l_tax").alias("amount"),
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transactionID"),
+        )
+    )
+
+
 def raw_bars(spark: SparkSession, folder: str) -> DataFrame:
     """Price ticks as a bar file gives them: text, with unreadable numbers."""
     value = money(F.col("value"))
+    kind = F.col("event_type")
     return table(spark, folder, "events").select(
         tagged("U", "user_id").alias("symbol"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Datetime"),
@@ -144,7 +177,12 @@ def raw_bars(spark: SparkSession, folder: str) -> DataFrame:
         value.alias("High"),
         value.alias("Low"),
         value.alias("Close"),
-        F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(value).alias("Adj Close"),
+        F.when(kind == "error", F.lit("n/a"))
+        .when(kind == "view", F.concat(value, F.lit("d")))
+        .when(kind == "signup", F.lit("1,000"))
+        .when(kind == "click", F.lit(" "))
+        .otherwise(value)
+        .alias("Adj Close"),
         F.col("event_id").cast("string").alias("Volume"),
     )
 
@@ -179,7 +217,11 @@ def _escaped(value: Column) -> Column:
 
 
 def write_statements(rows: DataFrame, element: str, file: Column, folder: str) -> None:
-    """Write records as statement files, one file per value of ``file``."""
+    """Write records as statement files, one file per value of ``file``.
+
+    Records meet their file's first and last line in one task, so files should
+    have a bounded size.
+    """
     names = F.array(*[F.lit(name) for name in rows.columns])
     texts = F.transform(F.array(*[text(rows, name) for name in rows.columns]), _escaped)
     attributes = F.array_join(
@@ -207,3 +249,11 @@ def write_statements(rows: DataFrame, element: str, file: Column, folder: str) -
         .write.partitionBy("file")
         .text(folder)
     )
+
+
+def write_bars(bars: DataFrame, folder: str) -> None:
+    """Bar files in two makes: times under `Datetime`, and under `Date` with the columns turned round."""
+    even = F.pmod(F.xxhash64("symbol"), F.lit(2)) == 0
+    bars.where(even).write.option("header", True).csv(f"{folder}/intraday")
+    turned = bars.where(~even).withColumnRenamed("Datetime", "Date")
+    turned.select(*reversed(turned.columns)).write.option("header", True).csv(f"{folder}/daily")

@@ -199,7 +199,17 @@ def ingest(
     """Ingest every statement file under ``paths``."""
     tags = read_tag_text(spark, paths, whole_files, pattern)
     ingested = ingest_tags(tags, spec, strict=strict, accept_compact=accept_compact)
-    # Files without a single tag give no rows above; Spark's listing has their names.
+    return replace(ingested, files=ingested.files.unionByName(empty_files(spark, paths, pattern, ingested.files)))
+
+
+def empty_files(
+    spark: SparkSession, paths: str | list[str], pattern: str, seen: DataFrame
+) -> DataFrame:
+    """(file, reason): the files that gave no row.
+
+    Their names come from the listing that Spark's driver makes of a folder anyway,
+    as its readers leave out files without a byte.
+    """
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -210,7 +220,6 @@ def ingest(
     given = spark.createDataFrame([(name,) for name in listed], "file string")
     # a local file's name may begin with one slash or three
     plain = lambda name: F.regexp_replace(name, "^file:/+", "file:/")
-    seen = ingested.files.select(plain("file").alias("_seen"))
-    empty = given.join(seen, plain("file") == F.col("_seen"), "left_anti")
-    empty = empty.select("file", F.lit("empty").alias("reason"))
-    return replace(ingested, files=ingested.files.unionByName(empty))
+    met = seen.select(plain("file").alias("_seen"))
+    left = given.join(met, plain("file") == F.col("_seen"), "left_anti")
+    return left.select("file", F.lit("empty").alias("reason"))
