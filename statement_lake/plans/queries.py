@@ -23,6 +23,7 @@ from statement_lake.operators.registry import (
 from statement_lake.operators.snapshot import batch_summary
 from statement_lake.plans import stand_ins as base
 from statement_lake.plans.lake import Lake
+from statement_lake.plans.landing import land, landing_latest
 from statement_lake.plans.marts import extend_registry, mart
 from statement_lake.plans.pipeline import Phases, refresh
 from statement_lake.session import scratch_path, settle
@@ -561,17 +562,44 @@ def lake_reloaded_trades(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def folder_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """A watched folder, read to its end by a streaming query."""
+    """A watched folder in three micro-batches; after a restart a fourth one brings corrections."""
     rows = base.trades(spark, folder)
-    files = _statement_folder(spark, rows, specs.TRADES)
-    lake = Lake(spark, scratch_path(spark, "lake"))
-    checkpoint = scratch_path(spark, "stream")
-    follow_folder(
-        spark, lake, specs.TRADES, files, checkpoint, pattern="*.txt"
-    ).awaitTermination()
+    files = scratch_path(spark, "watched")
+    lake, checkpoint = Lake(spark, scratch_path(spark, "lake")), scratch_path(spark, "stream")
+
+    def caught_up(part: DataFrame, name: str, batches: int) -> None:
+        base.write_statements(part, specs.TRADES.element, _month_file(part, specs.TRADES.date), f"{files}/{name}")
+        new = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.txt"
+        ).load(f"{files}/{name}")
+        many = -(-len(new.inputFiles()) // batches)
+        follow_folder(
+            spark, lake, specs.TRADES, files, checkpoint, max_files=many, pattern="*.txt"
+        ).awaitTermination()
+
+    caught_up(rows, "first", 3)
+    late = rows.where(F.col("tradeDate") >= F.lit(base.CORRECTED_FROM))
+    caught_up(late.withColumn("tradePrice", F.col("tradePrice") * 2), "second", 1)
+    ended = lake.batches().count()
+    if ended < 4:
+        raise RuntimeError(f"{ended} batches")
     return lake.bronze(specs.TRADES).select(*rows.columns, "sourceHashHex")
 
 
+def landing_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Answers of the statement service, landed as files: what became of each reference."""
+    files = scratch_path(spark, "landing")
+    base.write_responses(spark, folder, files)
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    for _ in range(2):  # what has been dealt with is not dealt with again
+        land(lake, specs.TRADES, files, pattern="*.txt")
+    loaded = lake.bronze(specs.TRADES).groupBy(F.col("ibExecID").alias("reference")).agg(F.count("*").alias("rows"))
+    states = landing_latest(lake.landed(specs.TRADES))
+    return states.join(loaded, "reference", "left").select(
+        "reference", "attempts", "verdict", "code", F.coalesce("rows", F.lit(0)).alias("rows")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "content_hash": content_hash,
@@ -626,4 +654,5 @@ def queries() -> dict[str, Query]:
         "lake_trades_after_correction": lake_trades_after_correction,
         "lake_reloaded_trades": lake_reloaded_trades,
         "folder_stream": folder_stream,
+        "landing_states": landing_states,
     }

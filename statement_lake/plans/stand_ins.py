@@ -251,6 +251,39 @@ def write_statements(rows: DataFrame, element: str, file: Column, folder: str) -
     )
 
 
+def write_responses(spark: SparkSession, folder: str, target: str) -> None:
+    """Answers to statement requests: a reference for each month and priority of the orders.
+
+    Urgent ones are ready at once, high ones at the second attempt; the others
+    wait, ask for a new request, or fail for good.
+    """
+    orders = table(spark, folder, "orders")
+    kind = F.substring("o_orderpriority", 1, 1)
+    reference = F.concat(F.date_format("o_orderdate", "yyyyMM"), F.lit("-"), kind)
+    asked = orders.select(
+        reference.alias("ibExecID"), kind.alias("kind"), F.col("o_orderkey").alias("tradeID"),
+        tagged("U", "o_custkey").alias("accountId"), tagged("S", "o_custkey").alias("symbol"),
+        F.col("o_orderdate").cast("date").alias("tradeDate"),
+    )
+    ready = asked.where(F.col("kind").isin("1", "2"))
+    attempt = F.when(F.col("ibExecID").endswith("1"), F.lit(".1")).otherwise(F.lit(".2"))
+    write_statements(ready.drop("kind"), "Trade", F.concat("ibExecID", attempt), f"{target}/statements")
+    codes = F.create_map(*[F.lit(x) for pair in {"2": "1018", "3": "1019", "4": "1009", "5": "1012"}.items() for x in pair])
+    waits = asked.select("ibExecID", "kind").distinct().where("kind <> '1'").select(
+        "ibExecID", codes[F.col("kind")].alias("code"),
+        F.explode(F.when(F.col("kind") == "3", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("attempt"),
+    )
+    answer = F.concat(
+        F.lit("<FlexStatementResponse><Status>Fail</Status><ErrorCode>"), "code", F.lit("</ErrorCode></FlexStatementResponse>")
+    )
+    (
+        waits.select(F.concat("ibExecID", F.lit("."), F.col("attempt").cast("string")).alias("file"), answer.alias("value"))
+        .repartition("file")
+        .write.partitionBy("file")
+        .text(f"{target}/answers")
+    )
+
+
 def write_bars(bars: DataFrame, folder: str) -> None:
     """Bar files in two makes: times under `Datetime`, and under `Date` with the columns turned round."""
     even = F.pmod(F.xxhash64("symbol"), F.lit(2)) == 0
