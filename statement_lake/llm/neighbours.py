@@ -17,10 +17,9 @@ from statement_lake.llm.common import (
 SHARD_ROWS, BLOCK_ROWS = 16_384, 512
 #: Trees of a forest and bits of a hash string.
 TREES, BITS = 24, 32
-#: A query ascends until its prefixes hold this many entries, over all trees, for each row of the shard.
-ENTRIES_PER_ROW = 0.7
-#: Prefixes must hold this many entries at least, so small shards are read whole.
-LEAST_ENTRIES = 2_000
+#: A query ascends until its prefixes hold this many entries, over all trees, for each row of the
+#: shard, and k for each tree.
+ENTRIES_PER_ROW = 0.8
 
 
 def planes(dims: int, trees: int, bits: int, seed: int) -> np.ndarray:
@@ -72,13 +71,12 @@ def search_forest(
     best: list,
     k: int,
     entries_per_row: float = ENTRIES_PER_ROW,
-    least: int = LEAST_ENTRIES,
 ) -> None:
     """Raises each query's k best by the candidates of the forest.
 
     The longest shared prefix with enough entries is found by halving the depth,
     for all trees together: going up one bit at a time would end at the same
-    place.  What the trees hold there is scored exactly.
+    place.  What the trees hold there, and nothing else, is scored exactly.
     """
     trees, rows = forest["keys"].shape
     bits, x = forest["bits"], forest["x"]
@@ -86,7 +84,7 @@ def search_forest(
     size = np.sqrt((queries**2).sum(axis=1, keepdims=True))
     flat = np.hstack([queries / size, np.zeros((len(queries), 1))])
     asked = strings(flat, normal, trees, bits)
-    wanted = min(trees * rows, max(least, int(entries_per_row * rows)))
+    wanted = min(trees * rows, int(entries_per_row * rows) + k * trees)
     low, high = np.zeros(len(queries), np.int64), np.full(len(queries), bits, np.int64)
     while (low < high).any():  # the deepest level that holds enough
         middle = (low + high + 1) // 2
@@ -94,20 +92,34 @@ def search_forest(
         enough = (end - begin).sum(axis=0) >= wanted
         low, high = np.where(enough, middle, low), np.where(enough, high, middle - 1)
     begin, end = prefix_ranges(forest, asked, low)
-    scores = queries @ x.T
-    seen = np.empty(rows, bool)
+    columns = np.ascontiguousarray(x.T)
     for i in range(len(queries)):
-        seen[:] = False
+        seen = np.zeros(rows, bool)
         for t in range(trees):
             seen[forest["order"][t, begin[t, i] : end[t, i]]] = True
         seen &= forest["ids"] != ids[i]
+        near = np.flatnonzero(seen)
+        scores = products(columns, near, queries[i])
         kept = best[i]
         if len(kept[0]) == k:
-            seen &= scores[i] >= kept[0][-1]
-        near = np.flatnonzero(seen)
+            better = scores >= kept[0][-1]
+            near, scores = near[better], scores[better]
         if len(near) > 4 * k:
-            near = near[scores[i, near] >= np.partition(scores[i, near], -k)[-k]]
-        best[i] = merged(kept, scores[i, near], forest["ids"][near], k)
+            better = scores >= np.partition(scores, -k)[-k]
+            near, scores = near[better], scores[better]
+        best[i] = merged(kept, scores, forest["ids"][near], k)
+
+
+def products(columns: np.ndarray, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of rows with a query, summed component by component.
+
+    A product depends on the two vectors alone and not on where a row lies, so
+    equal vectors tie.
+    """
+    total = np.zeros(len(rows))
+    for column, value in zip(columns, query):
+        total += column[rows] * value
+    return total
 
 
 def nearest(

@@ -94,6 +94,42 @@ def test_nearest_finds_all_of_few_rows(spark):
     assert all(abs(found[w[:3]] - w[3]) < 1e-12 for w in wanted)
 
 
+@pytest.mark.parametrize("many", [1_001, 2_003])
+def test_equal_vectors_come_in_order_of_id(many):
+    """Scores are those of a plain sum, wherever a row lies in its shard."""
+    random = np.random.default_rng(many)
+    some = random.standard_normal((40, 37))
+    x = some[random.integers(0, 40, many)]
+    forest = neighbours.build_forest(np.arange(many), x)
+    best = [(np.empty(0), np.empty(0, np.int64)) for _ in range(20)]
+    neighbours.search_forest(forest, np.full(20, -1), x[:20], best, 60, entries_per_row=24)
+    for (scores, ids), query in zip(best, x):
+        plain = []
+        for row in x:
+            total = 0.0
+            for a, b in zip(row.tolist(), query.tolist()):
+                total += a * b
+            plain.append(total)
+        wanted = sorted(range(many), key=lambda i: (-plain[i], i))[:60]
+        assert ids.tolist() == wanted and scores.tolist() == [plain[i] for i in wanted]
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_recall_over_all_queries_of_a_table(spark, folder):
+    """At the default, on tables far smaller than a shard and not held whole."""
+    table = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")
+    rows = {r.vec_id: r.embedding for r in table.collect()}
+    ids, x = np.array(list(rows)), np.array(list(rows.values()), float)
+    found = {}
+    for r in neighbours.nearest(table, queries.asked()).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in found:
+        scores = np.where(ids == q, -np.inf, x @ x[ids == q][0])
+        hits += len(found[q] & set(ids[np.argsort(-scores)[:20]].tolist()))
+    assert len(found) == (ids % 20 == 0).sum() and hits >= 0.9 * 20 * len(found)
+
+
 def test_nearest_recall_of_vectors_of_any_length(spark):
     random = np.random.default_rng(5)
     x = random.standard_normal((20_000, 32)) * random.uniform(0.5, 1.5, (20_000, 1))
