@@ -25,7 +25,7 @@ from statement_lake.plans import stand_ins as base
 from statement_lake.plans.lake import Lake
 from statement_lake.plans.landing import land, landing_latest
 from statement_lake.plans.marts import extend_registry, mart
-from statement_lake.plans.pipeline import Phases, refresh
+from statement_lake.plans.pipeline import Phases, load_files, refresh
 from statement_lake.session import scratch_path, settle
 from statement_lake.sources import specs
 from statement_lake.sources.bars import BarFiles, normalize_bars, trailing_bars
@@ -586,6 +586,22 @@ def folder_stream(spark: SparkSession, folder: str) -> DataFrame:
     return lake.bronze(specs.TRADES).select(*rows.columns, "sourceHashHex")
 
 
+def backfill_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A backfill of a file a month that broke off after the early ones and was resumed, as its file ledger."""
+    rows = base.trades(spark, folder)
+    month = F.date_format("tradeDate", "yyyyMM")
+    files = scratch_path(spark, "backfill")
+    early = F.col("tradeDate") < F.lit(base.CASH_FROM)
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    for part, name in ((rows.where(early), "early"), (rows.where(~early), "late")):
+        base.write_statements(part, specs.TRADES.element, month, f"{files}/{name}")
+        load_files(lake, specs.TRADES, files, backfill=True, pattern="*.txt", resume=True)
+    ledger = lake.files(specs.TRADES)
+    return ledger.select(
+        F.regexp_extract("file", "file=([0-9]+)", 1).alias("month"), "rows", "min_date", "max_date", "dates", "reason"
+    )
+
+
 def landing_states(spark: SparkSession, folder: str) -> DataFrame:
     """Answers of the statement service, landed as files: what became of each reference."""
     files = scratch_path(spark, "landing")
@@ -655,4 +671,5 @@ def queries() -> dict[str, Query]:
         "lake_reloaded_trades": lake_reloaded_trades,
         "folder_stream": folder_stream,
         "landing_states": landing_states,
+        "backfill_files": backfill_files,
     }

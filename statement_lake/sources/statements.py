@@ -195,11 +195,16 @@ def ingest(
     accept_compact: bool = False,
     whole_files: bool = False,
     pattern: str = STATEMENT_FILES,
+    but: DataFrame | None = None,
 ) -> Ingested:
-    """Ingest every statement file under ``paths``."""
+    """Ingest every statement file under ``paths``, but those of ``but`` (file)."""
     tags = read_tag_text(spark, paths, whole_files, pattern)
+    if but is not None:
+        tags = tags.join(but, "file", "left_anti")
     ingested = ingest_tags(tags, spec, strict=strict, accept_compact=accept_compact)
-    return replace(ingested, files=ingested.files.unionByName(empty_files(spark, paths, pattern, ingested.files)))
+    met = ingested.files.select("file")
+    met = met if but is None else met.unionByName(but.select("file"))
+    return replace(ingested, files=ingested.files.unionByName(empty_files(spark, paths, pattern, met)))
 
 
 def empty_files(
