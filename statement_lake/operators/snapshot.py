@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,3 +30,19 @@ def batch_summary(rows: DataFrame, by: str, date: str) -> DataFrame:
 def in_order(rows: DataFrame, *keys: str) -> DataFrame:
     """Ordered output as range partitions sorted inside, written in parallel."""
     return rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def stored_positions(stored: DataFrame) -> DataFrame:
+    """Rows of a stored parquet dataset with the ``position`` each has in its files, by file name.
+
+    Files are as many as the write had partitions; their sizes alone are added up.
+    """
+    placed = stored.select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index")
+    )
+    sizes = placed.groupBy("_file").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_file", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    return placed.join(starts, "_file").withColumn("position", F.col("_start") + F.col("_index")).drop(
+        "_file", "_index", "_start"
+    )

@@ -20,7 +20,7 @@ from statement_lake.operators.registry import (
     register,
     resolve,
 )
-from statement_lake.operators.snapshot import batch_summary
+from statement_lake.operators.snapshot import batch_summary, in_order, stored_positions
 from statement_lake.plans import stand_ins as base
 from statement_lake.plans.lake import Lake
 from statement_lake.plans.landing import land, landing_latest
@@ -407,6 +407,14 @@ def account_nav_history(spark: SparkSession, folder: str) -> DataFrame:
     return _mart("account_nav_history", _one_nav(base.account_nav(spark, folder)))
 
 
+def account_nav_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each account's day stands in the files of the ordered history."""
+    rows = in_order(_one_nav(base.account_nav(spark, folder)), "accountId", "reportDate")
+    path = scratch_path(spark, "ordered")
+    rows.write.parquet(path)
+    return stored_positions(spark.read.parquet(path)).select("accountId", "reportDate", "position")
+
+
 def tickers_daily_history(spark: SparkSession, folder: str) -> DataFrame:
     """Bar files of all ticks, loaded, stored and published."""
     files = scratch_path(spark, "bar-files")
@@ -655,6 +663,7 @@ def queries() -> dict[str, Query]:
         "positions_latest": positions_latest,
         "account_nav_latest": account_nav_latest,
         "account_nav_history": account_nav_history,
+        "account_nav_order": account_nav_order,
         "tickers_daily_history": tickers_daily_history,
         "symbol_codes": _codes,
         "obfuscate_trades": obfuscate_trades,
