@@ -33,10 +33,17 @@ ENCODINGS = (
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
 #: Length classes begin here; steps of the p-value; share of false finds that is allowed.
-CLASSES, STEPS, FALSE_SHARE = (20, 28, 40, 64), 20, 0.05
-#: The highest step a cut-off may have, and the one where a class's own counts give none:
-#: random strings stay above it in some nine cases of ten, however many others there are.
+CLASSES, STEPS, LEVEL = (20, 28, 40, 64), 20, 0.05
+#: The highest step a cut-off may have unless told otherwise: nine of ten random strings
+#: stay above it, however many others there are.
 HIGHEST = 2
+#: A class with fewer strings above the middle step is judged by pooled counts.
+ENOUGH = 10
+#: Letters that written words have most of; about five of eight letters in European languages.
+FREQUENT = "aeinorst"
+#: So many independent tests have the battery's least p-value on random strings, as measured
+#: (five tests that are correlated; four on hexadecimal digits).
+TESTS, HEX_TESTS = 4.2, 3.2
 
 
 def _kind(char: Column) -> Column:
@@ -78,12 +85,23 @@ def alphabet(text: Column) -> Column:
 def randomness(text: Column, encoding: Column) -> Column:
     """p-value of the hypothesis that the text is random in its encoding.
 
-    Four tests: chi-squared of the letter counts against an even alphabet (by the
+    Five tests: chi-squared of the letter counts against an even alphabet (by the
     Wilson-Hilferty approximation); the number of runs above and below the middle
     of the alphabet; the correlation of neighbouring letters' numbers; the number
     of changes between digits, upper and lower case, which words and identifiers
-    have few of.  The least of the four counts, times four.
+    have few of; the share of frequent letters among all letters, which words have
+    many of (not for hexadecimal digits).  The least of the tests is taken as the
+    least of TESTS even ones, so that random strings spread evenly over (0, 1).
     """
+    share = len(FREQUENT) / 26
+    plain = F.lower(encoding) == "hex"
+
+    def frequent() -> Column:
+        seen = F.length(F.regexp_replace(text, f"(?i)[^{FREQUENT}]", "")).cast("double")
+        all_letters = F.length(F.regexp_replace(text, "[^A-Za-z]", "")).cast("double")
+        z = (seen - all_letters * share) / F.sqrt(all_letters * (share * (1 - share)))
+        return F.when(plain, 1.0).otherwise(_normal_above(z))
+
     letters = F.create_map(*[F.lit(x) for pair in ENCODINGS for x in pair])
     one = F.create_map(*[F.lit(x) for name, known in ENCODINGS for x in (name, _changes(known)[0])])
     both = F.create_map(*[F.lit(x) for name, known in ENCODINGS for x in (name, _changes(known)[1])])
@@ -146,8 +164,8 @@ def randomness(text: Column, encoding: Column) -> Column:
             return F.when(around == 0, 0.0).otherwise(_beyond(z))
 
         kinds = F.transform(chars, _kind)
-        least = F.least(p_even, let(high, runs), let(total / n, serial), let(kinds, changes))
-        return F.least(F.lit(1.0), 4 * least)
+        least = F.least(p_even, let(high, runs), let(total / n, serial), let(kinds, changes), frequent())
+        return 1 - F.pow(1 - F.least(F.lit(1.0), least), F.when(plain, HEX_TESTS).otherwise(TESTS))
 
     def over(chars: Column) -> Column:
         known = letters[encoding]
@@ -166,17 +184,37 @@ def length_class(text: Column) -> Column:
     return found
 
 
-def cutoffs(strings: DataFrame) -> dict[tuple[str, int], int]:
+def _step(counts: list[int], level: float, highest: int | None) -> int | None:
+    """The lowest step above which at most a share ``level`` of the strings is not random, if one tells.
+
+    Random strings are as many in every step; the steps of the upper half tell how many.
+    """
+    half = STEPS // 2
+    even = sum(counts[half:]) / (STEPS - half)
+    for step in range(1, half + 1 if highest is None else min(highest, half) + 1):
+        above = sum(counts[step:])
+        if above and above - even * (STEPS - step) <= level * above:
+            return step
+    return None
+
+
+def cutoffs(
+    strings: DataFrame, level: float = LEVEL, highest: int | None = HIGHEST
+) -> dict[tuple[str, int], int]:
     """For each (encoding, length class) the lowest step of p from which strings count as random.
 
     p-values of random strings spread evenly, those of structured ones gather at
     the low end.  The upper half therefore tells how many strings are random, and
     so how many of those above a step are not: the lowest step at which that share
-    stays within FALSE_SHARE is taken.  A class without such a step up to HIGHEST
-    (too few random strings, or too many structured ones) takes HIGHEST: no real
-    one goes because of the others, and the share of false finds may then be
-    larger.  Each string counts once.  What comes to the driver is a count per
-    encoding, class and step.
+    stays within ``level`` is taken.  A class with fewer than ENOUGH strings in
+    that half takes the step of its length over all encodings, or else of all
+    classes together, where those have enough.
+
+    Where no step up to ``highest`` keeps the level, ``highest`` is the cut-off:
+    no real string goes because of the others, and the share of false finds may
+    be larger.  With None the control goes on to the middle step, and a class
+    where none keeps the level has no finds.  Each string counts once.  What
+    comes to the driver is a count per encoding, class and step.
     """
     steps = (
         strings.groupBy("text")
@@ -185,19 +223,20 @@ def cutoffs(strings: DataFrame) -> dict[tuple[str, int], int]:
         .count()
         .collect()
     )
-    held: dict[tuple[str, int], list[int]] = {}
+    held: dict[tuple[str | None, int | None], list[int]] = {}
     for row in steps:
-        held.setdefault((row["encoding"], row["class"]), [0] * STEPS)[int(row["step"])] += row["count"]
+        for key in ((row["encoding"], row["class"]), (None, row["class"]), (None, None)):
+            held.setdefault(key, [0] * STEPS)[int(row["step"])] += row["count"]
     found = {}
-    for key, counts in held.items():
-        half = STEPS // 2
-        even = sum(counts[half:]) / (STEPS - half)
-        found[key] = HIGHEST
-        for step in range(1, HIGHEST):
-            above = sum(counts[step:])
-            if above and even and (above - even * (STEPS - step)) / above <= FALSE_SHARE:
-                found[key] = step
-                break
+    for encoding, kind in held:
+        if encoding is None:
+            continue
+        pools = [held[key] for key in ((encoding, kind), (None, kind), (None, None))]
+        judged = next((c for c in pools if sum(c[STEPS // 2 :]) >= ENOUGH), pools[-1])
+        step = _step(judged, level, highest)
+        step = highest if step is None else step
+        if step is not None:
+            found[encoding, kind] = step
     return found
 
 
@@ -238,9 +277,9 @@ def _scanned(documents: DataFrame, id_column: str, text_column: str, *more: Colu
     )
 
 
-def _judged(scanned: DataFrame) -> DataFrame:
+def _judged(scanned: DataFrame, level: float, highest: int | None) -> DataFrame:
     """The scanned rows with base (all base spans) and random (further spans) in place of the strings."""
-    lines = cutoffs(scanned.select(F.explode("strings").alias("s")).select("s.*"))
+    lines = cutoffs(scanned.select(F.explode("strings").alias("s")).select("s.*"), level, highest)
     if lines:
         line = F.create_map(
             *[F.lit(x) for (name, kind), step in sorted(lines.items()) for x in (f"{name}/{kind}", step / STEPS)]
@@ -260,20 +299,25 @@ def _judged(scanned: DataFrame) -> DataFrame:
 
 
 def find_secrets(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    level: float = LEVEL,
+    highest: int | None = HIGHEST,
 ) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random), one row a document row.
 
     spans: kind:start:end of all spans by start, then kind, comma-joined; offsets
     are code points, ends exclusive.  Base spans always stay; base_sha256 is over
     them alone.  n_random counts the further ones: strings without a base span
-    that the battery finds random, as judged over all documents.
+    that the battery finds random, as judged over all documents (see cutoffs for
+    level and highest).
 
     Null texts count as empty and have no spans.  Rows with null or equal doc_ids
     have their own rows; a string that repeats counts once in the judgement.
     Other columns are ignored.
     """
-    found = _judged(settle(_scanned(documents, id_column, text_column), "secret-spans"))
+    found = _judged(settle(_scanned(documents, id_column, text_column), "secret-spans"), level, highest)
     return found.select(
         "doc_id",
         *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
@@ -288,6 +332,8 @@ def mask_secrets(
     id_column: str = "doc_id",
     text_column: str = "text",
     size_column: str | None = "n_chars",
+    level: float = LEVEL,
+    highest: int | None = HIGHEST,
 ) -> DataFrame:
     """The documents with every secret replaced by its kind in brackets.
 
@@ -299,7 +345,7 @@ def mask_secrets(
     text = F.col(f"row.`{text_column}`")
     apart_rows = rows.select(F.col(f"row.`{id_column}`").alias("id"), text.alias("text"), "row")
     scanned = settle(_scanned(apart_rows, "id", "text", F.col("row")), "secret-rows")
-    found = _judged(scanned).withColumn(
+    found = _judged(scanned, level, highest).withColumn(
         "masked", masked(text, merged([F.col("base"), F.col("random")]))
     )
     changed = F.size("base") + F.size("random") > 0

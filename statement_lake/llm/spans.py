@@ -110,11 +110,36 @@ def joined(found: Column) -> Column:
 
 
 def apart(found: Column, others: Column) -> Column:
-    """The spans of found that share no character with any of the others."""
-    return F.filter(
-        found,
-        lambda s: ~F.exists(others, lambda o: (s["start"] < o["end"]) & (o["start"] < s["end"])),
-    )
+    """The spans of found that share no character with any of the others, which are in order of start.
+
+    The others are looked at by stretches that know where they begin and end.
+    """
+
+    def cut(spans: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(spans) / F.lit(STRETCH)).cast("int") - 1, F.lit(0))
+        parts = F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(spans, c * STRETCH + 1, F.lit(STRETCH)))
+        return F.transform(
+            parts,
+            lambda p: F.struct(
+                F.get(p, F.lit(0))["start"].alias("start"),
+                F.array_max(F.transform(p, lambda o: o["end"])).alias("end"),
+                p.alias("spans"),
+            ),
+        )
+
+    def meets(s: Column, o: Column) -> Column:
+        return (s["start"] < o["end"]) & (o["start"] < s["end"])
+
+    def free(stretches: Column) -> Column:
+        return F.filter(
+            found,
+            lambda s: ~F.exists(
+                stretches,
+                lambda g: F.coalesce(meets(s, g), F.lit(False)) & F.exists(g["spans"], lambda o: meets(s, o)),
+            ),
+        )
+
+    return F.when(F.size(others) > 0, let(cut(others), free)).otherwise(found)
 
 
 def masked(text: Column, found: Column) -> Column:
