@@ -60,11 +60,14 @@ def last_per_key(
 
 
 def greatest_hash_per_key(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """One row per key, the one whose content hash sorts last; a missing account becomes blank."""
+    """One row per key, the one whose content hash sorts last; a missing account becomes blank.
+
+    Rows without a hash come before all others.
+    """
     kinds = dict(rows.dtypes)
     blanks = {name: F.coalesce(name, F.lit("")) for name in keys if kinds[name] == "string"}
     filled = rows.withColumns(blanks) if blanks else rows
-    return last_per_key(filled, keys, F.col(column))
+    return last_per_key(filled, keys, F.coalesce(column, F.lit("")))
 
 
 def last_file_by_hash(rows: DataFrame, column: str, order: str = "file_order") -> DataFrame:

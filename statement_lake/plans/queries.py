@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from statement_lake.plans import stand_ins as base
 from statement_lake.plans.lake import Lake
 from statement_lake.plans.landing import land, landing_latest
 from statement_lake.plans.marts import extend_registry, mart
-from statement_lake.plans.pipeline import Phases, load_files, refresh
+from statement_lake.plans.pipeline import Phases, Request, load_files, refresh
 from statement_lake.session import scratch_path, settle
 from statement_lake.sources import specs
 from statement_lake.sources.bars import BarFiles, normalize_bars, trailing_bars
@@ -569,6 +570,72 @@ def lake_reloaded_trades(spark: SparkSession, folder: str) -> DataFrame:
     return lake.bronze(specs.TRADES).select(*rows.columns, "sourceHashHex")
 
 
+def _typed(rows: DataFrame, spec: SourceSpec) -> DataFrame:
+    return base.whole(base.with_fingerprint(rows, spec.hash), spec).select(*spec.schema.names)
+
+
+def lake_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger's loads after two runs: three sources, then the last trades again and a batch without rows."""
+    root = scratch_path(spark, "lake")
+    trades = base.trades(spark, folder)
+    again = trades.where(F.col("tradeDate") >= F.lit(base.CORRECTED_FROM))
+    positions = base.positions(spark, folder)
+    first = {specs.TRADES: trades, specs.CASH_TRANSACTIONS: _cash(spark, folder), specs.POSITIONS: positions}
+    second = {specs.TRADES: again, specs.POSITIONS: positions.where("accountId IS NULL")}
+    for number, batch in enumerate((first, second), 1):
+        given = {spec.name: _typed(rows, spec) for spec, rows in batch.items()}
+        asked = {"trades": Request(f"query-{number}", f"reference-{number}"), "positions": Request("query-3")}
+        only = Phases(silver=False, gold=False)
+        outcomes = refresh(spark, root, given, only, sources=list(batch), requests=asked)
+        if any(outcome.status != "ok" for outcome in outcomes):
+            raise RuntimeError(f"refresh failed: {outcomes}")
+    loads = Lake(spark, root).ledger().where("phase = 'bronze'")
+    runs_in_order = loads.select("run_utc").distinct().sort("run_utc").collect()  # two
+    first_run = F.lit(runs_in_order[0].run_utc).cast("timestamp_ntz")
+    return loads.select(
+        F.when(F.col("run_utc") == first_run, 1).otherwise(2).cast("bigint").alias("run"),
+        "job_id", "query_id", "reference_code", "status", "report_date", "rows", "error",
+    )
+
+
+def lake_obfuscated_copy(spark: SparkSession, folder: str) -> DataFrame:
+    """The anonymised copy of all eight datasets, one row a record: who, when, how much and which text."""
+    root = scratch_path(spark, "lake")
+    given = {
+        specs.TRADES: base.trades(spark, folder),
+        specs.CORPORATE_ACTIONS: base.corporate_actions(spark, folder),
+        specs.POSITIONS: base.positions(spark, folder),
+        specs.CASH_TRANSACTIONS: _cash(spark, folder),
+        specs.ACCOUNT_NAV: base.account_nav(spark, folder),
+    }
+    outcomes = refresh(
+        spark, root, {spec.name: _typed(rows, spec) for spec, rows in given.items()},
+        Phases(obfuscate=True), factor=FACTOR, sources=list(given),
+    )
+    if any(outcome.status != "ok" for outcome in outcomes):
+        raise RuntimeError(f"refresh failed: {outcomes}")
+    lake = Lake(spark, root)
+    shown = {
+        "trades_history": ("symbol", "reportDate", "tradePrice", None),
+        "corporate_actions_history": ("symbol", "reportDate", "value", "description"),
+        "cash_transactions_history": ("symbol", "reportDate", "amount", "description"),
+        "positions_history": ("symbol", "reportDate", "positionValue", None),
+        "positions_latest": ("symbol", "reportDate", "positionValue", "description"),
+        "account_nav_history": (None, "reportDate", "total", None),
+        "account_nav_latest": (None, "reportDate", "cash", None),
+        "symbols_dictionary": ("symbol", None, None, "description"),
+    }
+    kinds = {"symbol": "string", "reportDate": "date", "money": "double", "text": "string"}
+    parts = [
+        lake.dataset(dataset_id, "obfuscated").select(
+            F.lit(dataset_id).alias("dataset_id"),
+            *[(F.col(c) if c else F.lit(None)).cast(t).alias(n) for c, (n, t) in zip(columns, kinds.items())],
+        )
+        for dataset_id, columns in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def folder_stream(spark: SparkSession, folder: str) -> DataFrame:
     """A watched folder in three micro-batches; after a restart a fourth one brings corrections."""
     rows = base.trades(spark, folder)
@@ -678,6 +745,8 @@ def queries() -> dict[str, Query]:
         "lake_registry_after_correction": lake_registry_after_correction,
         "lake_trades_after_correction": lake_trades_after_correction,
         "lake_reloaded_trades": lake_reloaded_trades,
+        "lake_ledger": lake_ledger,
+        "lake_obfuscated_copy": lake_obfuscated_copy,
         "folder_stream": folder_stream,
         "landing_states": landing_states,
         "backfill_files": backfill_files,

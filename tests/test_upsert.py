@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from statement_lake.operators import upsert as U
-from tests.helpers import as_list
+from tests.helpers import as_list, as_set
 
 SCHEMA = "account string, day date, h string, v int"
 
@@ -120,3 +120,8 @@ def test_bulk_loads_equal_sequential_loads(spark):
         dated = {k: [r for r in v if r[1] is not None] for k, v in files.items()}
         bulk = U.last_file_by_key(frame(spark, dated), ["account", "day"], "h")
         assert plain(bulk) == sorted(one_by_one(dated, by_key), key=repr)
+
+
+def test_rows_without_a_hash_are_not_lost(spark):
+    rows = spark.createDataFrame([("a", 1, None, 5), ("b", 1, None, 6), ("b", 1, "h", 7)], "k string, d int, h string, v int")
+    assert as_set(U.greatest_hash_per_key(rows, ["k", "d"], "h"), "k", "h", "v") == {("a", None, 5), ("b", "h", 7)}
