@@ -19,6 +19,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Predictions below this probability count as undecided.
 SURE = 0.5
+#: Bytes of words that a worker remembers when packing: all stages share the executors' memory.
+REMEMBERED = 32 << 20
 
 
 def identify_language(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:
@@ -52,7 +54,7 @@ def mix_sources(spark: SparkSession, documents: DataFrame, folder: str) -> DataF
 
 def pack(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:
     """Pieces of the documents and their places in sequences of 4096 tokens."""
-    return packing.best_fit(documents, public_tokenizers.path(packing.TOKENIZER))
+    return packing.best_fit(documents, public_tokenizers.path(packing.TOKENIZER), remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,8 +115,15 @@ def identify(
     their names.  Null labels teach nothing.  Rows with null or equal ids have
     their own rows.  Other columns are ignored.
     """
-    rows = _predicted(documents, learn_from, id_column, text_column, label_column, "doc_id long")
-    return rows(F.col(id_column).cast("long").alias("doc_id"))
+    tell = _teller(documents, learn_from, id_column, text_column, label_column)
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column("doc_id"), *tell(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score"])
+
+    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    return rows.mapInArrow(predict, "doc_id long, lang_pred string, score double")
 
 
 def predict_rows(
@@ -126,44 +133,45 @@ def predict_rows(
     text_column: str = "text",
     label_column: str = "lang",
 ) -> DataFrame:
-    """(row, lang_pred, score): as identify(), with all columns of the documents in row."""
-    rows = _predicted(documents, learn_from, id_column, text_column, label_column, None)
-    return rows(F.struct("*").alias("row"))
+    """(row, lang_pred, score): as identify(), with all columns of the documents in row.
+
+    Python workers get the texts alone and give back the predictions alone.
+    """
+    tell = _teller(documents, learn_from, id_column, text_column, label_column)
+
+    def predict(texts: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(tell(texts), ["lang_pred", "score"])
 
+    # not evaluated once more for each condition on the prediction
+    told = F.arrow_udf(predict, "lang_pred string, score double").asNondeterministic()
+    rows = documents.select(F.struct("*").alias("row"), told(F.col(text_column)).alias("told"))
+    return rows.select("row", "told.lang_pred", "told.score")
 
-def _predicted(
-    documents: DataFrame, learn_from: Column | DataFrame, id_column: str, text_column: str,
-    label_column: str, kind: str | None,
-):
+
+def _teller(
+    documents: DataFrame, learn_from: Column | DataFrame, id_column: str, text_column: str, label_column: str
+) -> Callable[[pa.Array], list[pa.Array]]:
+    """What gives [languages, probabilities] of an array of texts."""
     lessons = documents.where(learn_from) if isinstance(learn_from, Column) else learn_from
     langs, logs, prior = learn(lessons, id_column, text_column, label_column)
     model = documents.sparkSession.sparkContext.broadcast((langs, logs, prior))
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tell(texts: pa.Array) -> list[pa.Array]:
         langs, logs, prior = model.value
-        for batch in batches:
-            found, sure = [], []
-            for text in batch.column(1):
-                text = text.as_py()
-                if not langs or text is None or not any(map(str.isalpha, text)):
-                    found.append(UNKNOWN)
-                    sure.append(0.0)
-                    continue
-                total = score(text, logs, prior)
-                best = int(total.argmax())
-                found.append(langs[best])
-                sure.append(float(1 / np.exp(total - total[best]).sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.string()), pa.array(sure, pa.float64())],
-                [batch.schema.names[0], "lang_pred", "score"],
-            )
-
-    def over(first: Column) -> DataFrame:
-        rows = documents.select(first, F.col(text_column).alias("text"))
-        shown = kind or f"row {rows.schema['row'].dataType.simpleString()}"
-        return rows.mapInArrow(predict, f"{shown}, lang_pred string, score double")
-
-    return over
+        found, sure = [], []
+        for text in texts:
+            text = text.as_py()
+            if not langs or text is None or not any(map(str.isalpha, text)):
+                found.append(UNKNOWN)
+                sure.append(0.0)
+                continue
+            total = score(text, logs, prior)
+            best = int(total.argmax())
+            found.append(langs[best])
+            sure.append(float(1 / np.exp(total - total[best]).sum()))
+        return [pa.array(found, pa.string()), pa.array(sure, pa.float64())]
+
+    return tell
 
 
 def held_out(id_column: str = "doc_id") -> Column:

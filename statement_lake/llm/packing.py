@@ -79,7 +79,7 @@ class Encoder:
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
-        self.path = path
+        self.path, self.remembered = path, remembered
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
@@ -193,11 +193,11 @@ def stretches(texts: list[bytes], size: int = STRETCH) -> Iterator[list[tuple[in
 _encoder: Encoder | None = None
 
 
-def encoder(path: str) -> Encoder:
-    """This worker's encoder; it holds the one of the last file asked for."""
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """This worker's encoder; it holds the one of the last file and size asked for."""
     global _encoder
-    if _encoder is None or _encoder.path != path:
-        _encoder = Encoder(path)
+    if _encoder is None or (_encoder.path, _encoder.remembered) != (path, remembered):
+        _encoder = Encoder(path, remembered)
     return _encoder
 
 
@@ -215,13 +215,13 @@ def groups(column: pa.Array, size: int = 64 * STRETCH) -> Iterator[tuple[int, li
 
 
 def pieces(
-    documents: DataFrame, tokenizer_path: str, length: int, id_column: str, text_column: str
+    documents: DataFrame, tokenizer_path: str, length: int, id_column: str, text_column: str, remembered: int
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): documents with an end id, cut where too long."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        held = encoder(tokenizer_path)
+        held = encoder(tokenizer_path, remembered)
         encode = held.ids
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
@@ -330,6 +330,7 @@ def best_fit(
     id_column: str = "doc_id",
     text_column: str = "text",
     bucket_rows: int = BUCKET_ROWS,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row a piece.
 
@@ -341,10 +342,11 @@ def best_fit(
     Null and empty texts are one piece that holds the end id alone.  Rows with
     null or equal doc_ids are packed like others, each by itself.  Where pieces
     tie (equal lengths), order of bucket and row decides.  No rows: no rows.
-    Other columns are ignored.
+    Other columns are ignored.  remembered: bytes of words and parts that a Python
+    worker holds; fewer take more time and give the same.
     """
     spark = documents.sparkSession
-    cut = settle(pieces(documents, tokenizer_path, length, id_column, text_column), "pack-pieces")
+    cut = settle(pieces(documents, tokenizer_path, length, id_column, text_column, remembered), "pack-pieces")
     total = cut.count()
     buckets = -(-total // bucket_rows) or 1
     key = F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id())

@@ -52,3 +52,15 @@ def test_labels_and_sources_do_not_change_predictions(spark):
     first = language.identify(frame, lessons).select("doc_id", "lang_pred")
     second = language.identify(blind, lessons).select("doc_id", "lang_pred")
     assert first.exceptAll(second).count() == 0
+
+
+def test_rows_stay_in_the_jvm(spark):
+    """Workers get each text once and nothing else; a condition does not have it predicted again."""
+    frame = queries.table(spark, FOLDER, "documents")
+    told = language.predict_rows(frame, ~language.held_out())
+    kept = told.where("lang_pred <> 'und' and score >= 0.5")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan
+    mine = told.select("row.doc_id", "lang_pred", "score")
+    other = language.identify(frame, ~language.held_out())
+    assert mine.exceptAll(other).count() == 0 and mine.count() == other.count()

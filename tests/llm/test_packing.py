@@ -135,3 +135,11 @@ def test_stretches_keep_every_byte():
 def test_no_rows(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert packing.best_fit(frame, PATH).count() == 0
+
+
+def test_remembered_bytes_do_not_change_pieces(spark):
+    frame = spark.createDataFrame([(i, f"word{i} in a text of {i * i} words " * 30) for i in range(200)], "doc_id long, text string")
+    little, much = (packing.best_fit(frame, PATH, remembered=n) for n in (1 << 10, 1 << 24))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert little.select(columns).exceptAll(much.select(columns)).count() == 0 and little.count() == much.count()
+    assert packing.encoder(PATH, 1 << 10).remembered == 1 << 10
