@@ -1,4 +1,8 @@
-"""Language-model scores: logistic mixing of hashed-context bit predictors over words."""
+"""Language-model scores: logistic mixing of hashed-context bit predictors.
+
+Words are coded bit by bit in the context of the words before (word_contexts);
+those that are not frequent are spelled behind an escape, byte by byte.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statement_lake.llm import word_contexts
 from statement_lake.session import settle
 
 #: Slots (as a power of two) of the predictors that see the last 0, 1, 2 and 3 bytes of a word, and all before.
@@ -20,7 +25,7 @@ SLOTS = (8, 16, 20, 20, 22)
 CHUNK = 16
 #: Bytes of words that are worked on at a time, when learning weights and otherwise.
 STEP, BLOCK = 1 << 13, 1 << 17
-#: Words whose scores every executor holds; the others are joined.
+#: Frequent training words, which have a code of their own; the others are spelled, and their scores joined.
 HOT_WORDS = 65_536
 #: Words a task counts before it hands them on.
 HELD_WORDS = 400_000
@@ -198,6 +203,43 @@ def count_words(rows: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("learned").alias("learned"), F.sum("every").alias("every"))
 
 
+TABLE_SCHEMA = "predictor int, chunk int, counts binary"
+
+
+def told_tables(tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Tables of fixed size in chunks."""
+    for order, table in enumerate(tables):
+        for chunk, at in enumerate(range(0, len(table), 2 << CHUNK)):
+            blob = zlib.compress(table[at : at + (2 << CHUNK)].astype(np.int64).tobytes(), 1)
+            yield pa.RecordBatch.from_pydict(
+                {"predictor": pa.array([order], pa.int32()), "chunk": pa.array([chunk], pa.int32()), "counts": pa.array([blob], pa.binary())}
+            )
+
+
+def summed_tables(found: DataFrame, cells: list[int], label: str) -> list[np.ndarray]:
+    """The sum of the tasks' tables, (slots, 2) each; their size is what reaches the driver."""
+
+    def added(parts: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(blob), np.int64) for blob in parts["counts"])
+        return parts.iloc[:1].assign(counts=[zlib.compress(total.tobytes(), 1)])
+
+    found = found.groupBy("predictor", "chunk").applyInPandas(added, TABLE_SCHEMA)
+    tables = [np.zeros(size, np.float32) for size in cells]
+    for row in settle(found, label).toLocalIterator():
+        part = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+        at = row["chunk"] * (2 << CHUNK)
+        tables[row["predictor"]][at : at + len(part)] = part
+    return [table.reshape(-1, 2) for table in tables]
+
+
+def summed_places(found: DataFrame, size: int) -> np.ndarray:
+    """The sum of the tasks' numbers, place by place."""
+    sums = np.zeros(size)
+    for row in found.groupBy("place").agg(F.sum("value").alias("value")).collect():  # `size` rows at most
+        sums[row["place"]] = row["value"]
+    return sums
+
+
 def learn_counts(words: DataFrame) -> list[np.ndarray]:
     """For each predictor (slots, 2) counts of bits, over all training words.
 
@@ -217,26 +259,10 @@ def learn_counts(words: DataFrame) -> list[np.ndarray]:
                 for table, slots in zip(tables, bits.slots):
                     np.add.at(table, (slots * 2 + bits.bits).ravel(), weight)
         if some:
-            for order, table in enumerate(tables):
-                step = min(len(table), 2 << CHUNK)
-                for chunk in range(len(table) // step):
-                    blob = zlib.compress(table[chunk * step : (chunk + 1) * step].astype(np.int64).tobytes(), 1)
-                    yield pa.RecordBatch.from_pydict(
-                        {"predictor": pa.array([order], pa.int32()), "chunk": pa.array([chunk], pa.int32()), "counts": pa.array([blob], pa.binary())}
-                    )
+            yield from told_tables(tables)
 
-    def added(parts: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(blob), np.int64) for blob in parts["counts"])
-        return parts.iloc[:1].assign(counts=[zlib.compress(total.tobytes(), 1)])
-
-    schema = "predictor int, chunk int, counts binary"
-    found = words.where("learned > 0").mapInArrow(counted, schema)
-    found = found.groupBy("predictor", "chunk").applyInPandas(added, schema)
-    tables = [np.zeros((1 << power, 2), np.float32) for power in SLOTS]
-    for row in settle(found, "lm-bits").toLocalIterator():
-        part = np.frombuffer(zlib.decompress(row["counts"]), np.int64).reshape(-1, 2)
-        tables[row["predictor"]][row["chunk"] * len(part) : (row["chunk"] + 1) * len(part)] = part
-    return tables
+    found = words.where("learned > 0").mapInArrow(counted, TABLE_SCHEMA)
+    return summed_tables(found, [2 << power for power in SLOTS], "lm-bits")
 
 
 def learn_mixer(words: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
@@ -259,14 +285,44 @@ def learn_mixer(words: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_pydict({"place": np.arange(len(values)), "value": values})
 
     found = words.where("learned > 0").mapInArrow(trained, "place long, value double")
-    sums = np.zeros(1 + GATES * (len(SLOTS) + 1) + GATES * CELLS * 2)
-    for row in found.groupBy("place").agg(F.sum("value").alias("value")).collect():  # len(sums) rows at most
-        sums[row["place"]] = row["value"]
+    sums = summed_places(found, 1 + GATES * (len(SLOTS) + 1) + GATES * CELLS * 2)
     total, weights, table = np.split(sums, [1, 1 + GATES * (len(SLOTS) + 1)])
     weights = weights.reshape(GATES, -1) / total if total[0] else first_weights()
     return weights.astype(np.float32), table.reshape(-1, 2)
 
 
+def learn_contexts(texts: DataFrame, code) -> list[np.ndarray]:
+    """Counts of the code's bits in the contexts of all training texts."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [np.zeros(size, np.int32) for size in code.value.sizes]
+        some = False
+        for batch in batches:
+            read = (code.value.read(tokens(text.as_py())) for text in batch.column("text"))
+            for steps in word_contexts.blocks(code.value, read):
+                some = True
+                word_contexts.add(tables, steps)
+        if some:
+            yield from told_tables(tables)
+
+    found = texts.mapInArrow(counted, TABLE_SCHEMA)
+    return [word_contexts.short(table) for table in summed_tables(found, code.value.sizes, "lm-contexts")]
+
+
+def learn_context_weights(texts: DataFrame, code, counts) -> np.ndarray:
+    """Weights of the predictors over words, averaged over the tasks by their bits."""
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = (code.value.read(tokens(text.as_py())) for batch in batches for text in batch.column("text"))
+        weights, share = word_contexts.train(counts.value, code.value, read)
+        values = np.concatenate([[float(share)], share * weights.ravel().astype(float)])
+        yield pa.RecordBatch.from_pydict({"place": np.arange(len(values)), "value": values})
+
+    first = word_contexts.first_weights()
+    sums = summed_places(texts.mapInArrow(trained, "place long, value double"), 1 + first.size)
+    return (sums[1:].reshape(first.shape) / sums[0]).astype(np.float32) if sums[0] else first
+
+
 def held_out(id_column: str = "doc_id") -> Column:
     """Documents that nothing is learned from."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % 5 == 1
@@ -283,9 +339,11 @@ def score_texts(
 
     base_score: the log10 probability of the tokens by their smoothed shares in
     the training documents.  score: their log10 probability by the mixing model,
-    which codes each word bit by bit from contexts inside the word, so a word's
-    probability is worked out once, however often it occurs.  bits_per_byte is
-    that score over the bytes of the tokens and their ends.
+    which codes each word bit by bit in the contexts of no, one and two words
+    before.  Words that are not among the most frequent of the training documents
+    follow an escape and are spelled, from contexts inside the word, so that this
+    part of their probability is worked out once.  bits_per_byte is the score over
+    the bytes of the tokens and their ends.
 
     Null texts count as empty: the end alone.  Rows with null or equal doc_ids
     have their own rows.  Without training documents the counts are 0 and the
@@ -316,15 +374,19 @@ def score_texts(
     costs = settle(
         words.mapInArrow(scored, "word binary, learned long, every long, base double, score double"), "lm-scores"
     )
-    top = costs.orderBy(F.desc("every"), "word").limit(hot_words)  # a fixed number
-    hot = spark.sparkContext.broadcast(
-        {bytes(r["word"]): (r["learned"] > 0, r["base"], r["score"]) for r in top.toLocalIterator()}
-    )
+    known = words.where("learned > 0")
+    top = known.orderBy(F.desc("learned"), "word").limit(hot_words).collect()  # a fixed number
+    hot, times = [bytes(r["word"]) for r in top], [r["learned"] for r in top]
+    code = spark.sparkContext.broadcast(word_contexts.Code(hot, times, n - sum(times)))
+    hot_base = np.append(np.log10((np.array(times) + 0.5) / (n + 0.5 * (v + 1))), 0.0)
+    lessons = rows.where(~F.col("held_out")).select("text")
+    contexts = spark.sparkContext.broadcast(learn_contexts(lessons, code))
+    context_weights = learn_context_weights(lessons, code, contexts)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["row", "doc_id", "held_out", "word", "n", "size", "known", "base", "score"]
         kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        known_words = hot.value
+        escape = code.value.escape
 
         def told(columns: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
@@ -335,31 +397,31 @@ def score_texts(
             return told([np.repeat(at, many), none, none, words, times, whole, whole, zero, zero])
 
         for batch in batches:
-            out: list[tuple] = []
             at, many, far, far_times = [], [], [], []
-            for row, doc, text, is_out in zip(_column(batch, "row"), _column(batch, "doc_id"), batch.column("text"), _column(batch, "held_out")):
+            read, sizes = [], []
+            ids = _column(batch, "row")
+            for row, text in zip(ids, batch.column("text")):
                 found = tokens(text.as_py())
-                size, known, base, score = sum(map(len, found)) + len(found), 0, 0.0, 0.0
-                held = len(far)
-                for word, times in Counter(found).items():
-                    have = known_words.get(word)
-                    if have is None:
-                        far.append(word)
-                        far_times.append(times)
-                    else:
-                        known += times * have[0]
-                        base += times * have[1]
-                        score += times * have[2]
-                out.append((row, doc, is_out, None, len(found), size, known, base, score))
+                numbers, hashes = code.value.read(found)
+                rare = Counter(found[place] for place in np.flatnonzero(numbers == escape))
+                read.append((numbers, hashes))
+                sizes.append(sum(map(len, found)) + len(found))
+                far += rare
+                far_times += rare.values()
                 at.append(row)
-                many.append(len(far) - held)
+                many.append(len(rare))
                 if len(far) > 100_000:
                     yield told_far(at, many, far, far_times)
                     at, many, far, far_times = [], [], [], []
             if far:
                 yield told_far(at, many, far, far_times)
-            if out:
-                yield told(list(zip(*out)))
+            if read:
+                score = word_contexts.score(contexts.value, context_weights, code.value, read)
+                known = [int((numbers != escape).sum()) for numbers, _ in read]
+                base = [float(hot_base[numbers].sum()) for numbers, _ in read]
+                lengths = [len(numbers) for numbers, _ in read]
+                docs, outs = _column(batch, "doc_id"), _column(batch, "held_out")
+                yield told([ids, docs, outs, [None] * len(ids), lengths, sizes, known, base, score])
 
     schema = "row long, doc_id long, held_out boolean, word binary, n long, size long, known long, base double, score double"
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")

@@ -10,6 +10,7 @@ import pytest
 
 from statement_lake.llm import language_model as lm
 from statement_lake.llm import queries
+from statement_lake.llm import word_contexts as wc
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -77,3 +78,35 @@ def test_held_out_texts_are_predicted(spark):
 
 def test_no_rows(spark):
     assert lm.score_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_words_before_count(spark):
+    """The same words in an order that was learned, and in one that was not."""
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1]
+    order = "one two three four five six seven eight nine ten"
+    other = " ".join(sorted(order.split()))
+    rows = [(i, order) for i in range(400) if i not in held] + [(held[0], order), (held[1], other)]
+    for hot in (4, 65_536):
+        found = {r.doc_id: r for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), hot_words=hot).collect()}
+        learned, mixed = found[held[0]], found[held[1]]
+        assert math.isclose(learned.base_score, mixed.base_score)
+        assert learned.score > mixed.score + 1
+
+
+def test_words_are_coded_as_a_distribution(monkeypatch):
+    words = [f"w{i}".encode() for i in range(20)]
+    code = wc.Code(words, [40 // (i + 1) + 1 for i in range(20)], 3)
+    texts = [[words[(i * i + j) % 20] for j in range(i)] + [b"rare"] for i in range(50)]
+    read = [code.read(text) for text in texts]
+    tables = [np.zeros(size) for size in code.sizes]
+    for steps in wc.blocks(code, read):
+        wc.add(tables, steps)
+    counts = [wc.short(table.reshape(-1, 2)) for table in tables]
+    weights, _ = wc.train(counts, code, read)
+    before = [words[3], words[7]]
+    follow = [code.read([*before, word]) for word in [*words, b"rare"]]
+    base = wc.score(counts, weights, code, [code.read(before)])[0]
+    assert math.isclose((10 ** (wc.score(counts, weights, code, follow) - base)).sum(), 1, rel_tol=1e-4)
+    whole = wc.score(counts, weights, code, read)
+    monkeypatch.setattr(wc, "BLOCK_TOKENS", 3)
+    assert np.allclose(wc.score(counts, weights, code, read), whole)
