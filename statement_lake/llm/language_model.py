@@ -374,6 +374,7 @@ def score_texts(
     costs = settle(
         words.mapInArrow(scored, "word binary, learned long, every long, base double, score double"), "lm-scores"
     )
+    counts.destroy()  # the spelling costs are written; workers hold one model at a time
     known = words.where("learned > 0")
     top = known.orderBy(F.desc("learned"), "word").limit(hot_words).collect()  # a fixed number
     hot, times = [bytes(r["word"]) for r in top], [r["learned"] for r in top]

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Slots (as a power of two) of the predictors that see the word before, and the two words before.
+#: Most slots (as a power of two) of the predictors that see the word before, and the two words before.
 POWER = 22
 #: Tokens that are worked on at a time.
 BLOCK_TOKENS = 1 << 12
@@ -25,6 +25,8 @@ class Code:
     """A Huffman code of frequent words and of an escape, whose number is the last one."""
 
     def __init__(self, words: list[bytes], times: list[int], escapes: int):
+        # the tables grow with the training words: about a slot a word, as far as workers can hold them
+        self.power = min(POWER, max(10, (sum(times) + escapes).bit_length()))
         self.number = {word: n for n, word in enumerate(words)}
         self.escape = len(words)
         self.hashes = np.array([*map(zlib.crc32, words), 0], np.uint32)
@@ -52,7 +54,7 @@ class Code:
     @property
     def sizes(self) -> list[int]:
         """Cells (two a slot) of the three predictors' tables."""
-        return [2 * max(1, self.escape), 2 << POWER, 2 << POWER]
+        return [2 * max(1, self.escape), 2 << self.power, 2 << self.power]
 
     def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and hashes of a text's words."""
@@ -78,7 +80,7 @@ class Steps:
         for context in (one, two):
             key = (np.repeat(context, sizes) ^ node.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
             key = (key ^ (key >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-            self.slots.append((key >> np.uint64(64 - POWER)).astype(np.int64))
+            self.slots.append((key >> np.uint64(64 - code.power)).astype(np.int64))
 
 
 def blocks(code: Code, texts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[Steps]:
