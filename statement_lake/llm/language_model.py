@@ -6,13 +6,12 @@ those that are not frequent are spelled behind an escape, byte by byte.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,57 +23,72 @@ SLOTS = (8, 16, 20, 20, 22)
 #: Slots of a predictor that are summed and sent together (as a power of two).
 CHUNK = 16
 #: Bytes of words that are worked on at a time, when learning weights and otherwise.
-STEP, BLOCK = 1 << 13, 1 << 17
+STEP, BLOCK = 1 << 13, 1 << 15
 #: Frequent training words, which have a code of their own; the others are spelled, and their scores joined.
 HOT_WORDS = 65_536
-#: Words a task counts before it hands them on.
-HELD_WORDS = 400_000
-#: A word's end, and the token that ends a document; neither byte can be in a word.
-WORD_END, TEXT_END = b" ", b"\n"
+#: Words whose beginnings are looked at together.
+HELD_WORDS = 100_000
+#: A word's end; its byte cannot be in a word.
+WORD_END = b" "
 #: Pseudo-count of a bit, gates, cells of the refining table, speed of the weights.
 PRIOR, GATES, CELLS, SPEED = 0.4, 48, 33, 0.05
 LEAST = 1e-6
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words in lower case (A-Z alone), then the end: bytes split at the six ASCII blanks."""
-    words = text.lower().split()
-    words.append(TEXT_END)
-    return words
+#: Of each byte the nodes that its bits are told at (the bits before, with a leading one), and the bits.
+NODES = (256 + np.arange(256)[:, None]) >> (8 - np.arange(8))
+SIDES = ((np.arange(256)[:, None] >> (7 - np.arange(8))) & 1).astype(np.int8)
+ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def node_offsets(power: int) -> np.ndarray:
+    """What the slots of a byte's bits differ by from that of their context; those of half a byte are neighbours."""
+    late = NODES >= 16
+    root = np.where(late, 16 + (np.arange(256)[:, None] >> 4), 1).astype(np.uint64)
+    place = np.where(late, (NODES & ((1 << (np.arange(8) - 4).clip(0)) - 1)) | 1 << (np.arange(8) - 4).clip(0), NODES)
+    if power == 8:
+        return NODES
+    mixed = root * np.uint64(0xD6E8FEB86659FD93)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * ODD
+    return (mixed >> np.uint64(64 - power)).astype(np.int64) ^ place
+
+
+OFFSETS = {power: node_offsets(power) for power in SLOTS}
 
 
 class Bits:
     """The bits of some words, each with its slot in every predictor."""
 
-    def __init__(self, words: list[bytes]):
+    def __init__(self, words: list[bytes], shared: bool = False):
+        """shared: the bits of a beginning that several words have stand here once; `of` tells each byte's place."""
         data = np.frombuffer(WORD_END.join([*words, b""]), np.uint8)
         sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
         self.word = np.repeat(np.arange(len(words)), sizes)
-        begin = np.cumsum(sizes) - sizes
-        self.at = np.arange(len(data)) - begin[self.word]
-        odd = np.uint64(0x9E3779B97F4A7C15)
-        powers = np.cumprod(np.full(int(sizes.max()), odd))
+        self.begin = np.cumsum(sizes) - sizes
+        self.at = np.arange(len(data)) - self.begin[self.word]
+        powers = np.cumprod(np.full(int(sizes.max()), ODD))
         terms = (data.astype(np.uint64) + np.uint64(1)) * powers[self.at]
         sums = np.concatenate([[np.uint64(0)], np.cumsum(terms)])
-        prefix = sums[np.arange(len(data))] - sums[begin[self.word]]
+        before = sums[self.begin].take(self.word)
         contexts = [np.zeros(len(data), np.uint64)]
         recent = np.zeros(len(data), np.uint64)
         for back in (1, 2, 3):
-            before = np.zeros(len(data), np.uint64)
-            before[back:] = data[:-back]
-            recent = recent + np.where(self.at >= back, before + np.uint64(1), np.uint64(0)) * np.uint64(257**(back - 1))
+            byte = np.zeros(len(data), np.uint64)
+            byte[back:] = data[:-back]
+            recent = recent + np.where(self.at >= back, byte + np.uint64(1), np.uint64(0)) * np.uint64(257 ** (back - 1))
             contexts.append(recent)
-        contexts.append(prefix)
-        shifts = np.arange(8)
-        value = data.astype(np.int64)[:, None]
-        node = ((256 + value) >> (8 - shifts)).astype(np.uint64)  # bits before, with a leading one
-        self.bits = ((value >> (7 - shifts)) & 1).astype(np.int8)
+        contexts.append(sums[:-1] - before)
+        if shared:
+            _, first, self.of = np.unique(sums[1:] - before, return_index=True, return_inverse=True)
+            data, self.at = data[first], self.at[first]
+            contexts = [context[first] for context in contexts]
+        self.bits = SIDES.take(data, axis=0)
         self.slots = []
         for context, power in zip(contexts, SLOTS):
-            mixed = (context * odd) ^ (context >> np.uint64(29))
-            key = (mixed[:, None] + node) * np.uint64(0xD6E8FEB86659FD93)
-            key = (key ^ (key >> np.uint64(32))) * odd
-            self.slots.append((key >> np.uint64(64 - power)).astype(np.int64))
+            key = (context ^ (context >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+            key = (key ^ (key >> np.uint64(32))) * ODD
+            first = (key >> np.uint64(64 - power)).astype(np.int64)[:, None]
+            self.slots.append(first ^ OFFSETS[power].take(data, axis=0))
 
 
 def blocks(words: list[bytes], size: int) -> Iterator[tuple[int, int]]:
@@ -89,26 +103,36 @@ def blocks(words: list[bytes], size: int) -> Iterator[tuple[int, int]]:
         yield begin, len(words)
 
 
-def gate(bits: Bits, seen: list[np.ndarray]) -> np.ndarray:
-    """Which weights mix a bit: by how often its whole prefix and its last three bytes were seen."""
-    whole = sum((seen[4] >= least).astype(np.int64) for least in (1, 3, 16))
-    near = sum((seen[3] >= least).astype(np.int64) for least in (1, 16, 256))
-    place = np.minimum(bits.at, 2)[:, None]
-    return (whole * 4 + near) * 3 + place
+#: Stretched predictions are held within this on either side; a step of a quarter of 14 bits.
+WIDEST = np.float32(24)
+GRAIN = 2 * WIDEST / np.float32(65_535)
+#: Levels of how often the last three bytes, and all bytes before, were seen.
+LEVELS = {3: (1, 16, 256), 4: (1, 3, 16)}
+
 
+def stretched(counts: np.ndarray, order: int, own: int) -> np.ndarray:
+    """What a slot says of a bit in 14 bits, then its level; own: two a slot, each without one of that bit."""
+    found = np.empty((len(counts), 2 if own else 1), np.uint16)
+    for at in range(0, len(counts), 1 << CHUNK):  # some at a time, as workers have little room
+        for bit in range(found.shape[1]):
+            zero, one = counts[at : at + (1 << CHUNK)].T
+            if own:
+                zero, one = np.maximum(zero - np.float32(1 - bit), 0), np.maximum(one - np.float32(bit), 0)
+            says = np.log((one + np.float32(PRIOR)) / (zero + np.float32(PRIOR)))
+            says = np.rint((np.clip(says, -WIDEST, WIDEST) + WIDEST) * np.float32(0.25) / GRAIN)
+            seen = zero + one
+            level = sum((seen >= least).astype(np.uint16) for least in LEVELS.get(order, (1,)))
+            found[at : at + (1 << CHUNK), bit] = np.minimum(says, 16_383).astype(np.uint16) << np.uint16(2) | level
+    return found.ravel()
 
-def inputs(counts: list[np.ndarray], bits: Bits, own: int) -> tuple[np.ndarray, np.ndarray]:
-    """(stretched predictions (bytes, 8, predictors + 1), gates); own: occurrences of the bit itself to leave out."""
-    x = np.ones((*bits.bits.shape, len(SLOTS) + 1), np.float32)
-    seen = []
-    for i, slots in enumerate(bits.slots):
-        zero, one = counts[i][slots, 0], counts[i][slots, 1]
-        if own:
-            zero = np.maximum(zero - np.float32(own) * (bits.bits == 0), 0)
-            one = np.maximum(one - np.float32(own) * (bits.bits == 1), 0)
-        x[..., i] = np.log((one + PRIOR) / (zero + PRIOR))
-        seen.append(zero + one)
-    return x, gate(bits, seen)
+
+def inputs(tables: list[np.ndarray], bits: Bits, own: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(stretched predictions (bytes, 8), gates: by how often its whole prefix and its last three bytes were seen)."""
+    found = [table.take(slots * 2 + bits.bits if own else slots) for table, slots in zip(tables, bits.slots)]
+    near, whole = (found[order] & np.uint16(3) for order in (3, 4))
+    place = np.minimum(bits.at, 2).astype(np.uint16)[:, None]
+    gates = (whole * np.uint16(4) + near) * np.uint16(3) + place
+    return [says * GRAIN - WIDEST for says in found], gates.astype(np.int64)
 
 
 def squash(x: np.ndarray) -> np.ndarray:
@@ -119,8 +143,12 @@ def cell(x: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(x * 2) + CELLS // 2, 0, CELLS - 1).astype(np.int64)
 
 
-def mixed(weights: np.ndarray, x: np.ndarray, gates: np.ndarray) -> np.ndarray:
-    return np.einsum("bki,bki->bk", x, weights[gates])
+def mixed(weights: np.ndarray, x: list[np.ndarray], gates: np.ndarray) -> np.ndarray:
+    columns = np.ascontiguousarray(weights.T)
+    found = columns[-1].take(gates)
+    for column, given in zip(columns, x):
+        found += column.take(gates) * given
+    return found
 
 
 def first_weights() -> np.ndarray:
@@ -135,41 +163,44 @@ def train_mixer(counts: list[np.ndarray], words: list[bytes], times: np.ndarray)
     """
     weights, speed = first_weights(), np.full((GATES, len(SLOTS) + 1), 1e-4)
     table = np.zeros((GATES * CELLS, 2))
+    tables = [stretched(held, order, 1) for order, held in enumerate(counts)]
     for low, high in blocks(words, STEP):
-        bits = Bits(words[low:high])
-        x, gates = inputs(counts, bits, 1)
+        bits = Bits(words[low:high], shared=True)
+        x, gates = inputs(tables, bits, 1)
         raw = mixed(weights, x, gates)
-        weight = times[low:high][bits.word][:, None] * np.ones(8)
-        flat = gates * CELLS + cell(raw)
-        for value in (0, 1):
-            chosen = bits.bits == value
-            table[:, value] += np.bincount(flat[chosen], weight[chosen], len(table))
+        weight = np.bincount(bits.of, times[low:high][bits.word], len(bits.at))
+        weight = np.repeat(weight.astype(np.float32), 8).reshape(-1, 8)
+        flat = (gates * CELLS + cell(raw)) * 2 + bits.bits
+        met = np.bincount(flat.ravel(), weight.ravel(), table.size).reshape(table.shape)
+        table += met
         error = (bits.bits - squash(raw)) * weight
-        total = np.bincount(gates.ravel(), weight.ravel(), GATES)[:, None] + 1e-9
-        slope = np.stack(
-            [np.bincount(gates.ravel(), (error * x[..., i]).ravel(), GATES) for i in range(x.shape[2])], axis=1
-        ) / total
+        total = met.reshape(GATES, -1).sum(axis=1, keepdims=True) + 1e-9
+        sums = [np.bincount(gates.ravel(), (error * given).ravel(), GATES) for given in x]
+        slope = np.stack([*sums, np.bincount(gates.ravel(), error.ravel(), GATES)], axis=1) / total
         speed += slope**2
         weights = weights + (SPEED * slope / np.sqrt(speed)).astype(np.float32)
     return weights, table
 
 
 def word_scores(
-    counts: list[np.ndarray], weights: np.ndarray, table: np.ndarray, words: list[bytes]
+    counts: list[np.ndarray], weights: np.ndarray, table: np.ndarray, words: list[bytes], tables: list | None = None
 ) -> np.ndarray:
-    """log10 probability of each word with its end."""
+    """log10 probability of each word with its end; tables: stretched of the counts, if at hand."""
     centres = np.tile(squash((np.arange(CELLS) - CELLS // 2) / 2), GATES)
     refined = (table[:, 1] + 4 * centres) / (table.sum(axis=1) + 4)
     refined = np.clip(refined, LEAST, 1 - LEAST)
-    bend = np.log(refined / (1 - refined))
+    bend = np.log(refined / (1 - refined)).astype(np.float32)
+    tables = tables or [stretched(held, order, 0) for order, held in enumerate(counts)]
+    order = sorted(range(len(words)), key=words.__getitem__)  # beginnings in common stand together
+    words = [words[n] for n in order]
     out = np.zeros(len(words))
     for low, high in blocks(words, BLOCK):
-        bits = Bits(words[low:high])
-        x, gates = inputs(counts, bits, 0)
+        bits = Bits(words[low:high], shared=True)
+        x, gates = inputs(tables, bits, 0)
         raw = mixed(weights, x, gates)
-        one = squash((raw + bend[gates * CELLS + cell(raw)]) / 2)
-        cost = np.log10(np.where(bits.bits == 1, one, 1 - one)).sum(axis=1)
-        out[low:high] = np.bincount(bits.word, cost, high - low)
+        both = (raw + bend.take(gates * CELLS + cell(raw))) / 2
+        cost = np.log10(squash(both * (2 * bits.bits - 1).astype(np.float32))).sum(axis=1)
+        out[order[low:high]] = np.add.reduceat(cost.take(bits.of), bits.begin, dtype=np.float64)
     return out
 
 
@@ -177,42 +208,63 @@ def _column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(name).to_pylist()
 
 
+def grouped(batches: Iterator[pa.RecordBatch], size: int = HELD_WORDS) -> Iterator[pa.RecordBatch]:
+    """Batches of about this many rows: more words have more beginnings in common."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def count_words(rows: DataFrame) -> DataFrame:
     """(word, learned, every): how often each token occurs, in the training documents and in all."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {True: Counter(), False: Counter()}
-
-        def told() -> Iterator[pa.RecordBatch]:
-            for out, found in kinds.items():
-                times = np.fromiter(found.values(), np.int64, len(found))
+        for batch in batches:
+            for out in (True, False):
+                texts = batch.column("text").filter(pc.equal(batch.column("held_out"), out))
+                if not len(texts):
+                    continue
+                found = [word_contexts.split(some)[0] for _, some in word_contexts.slices(texts)]
+                words, times = pa.chunked_array(found).value_counts().flatten()
+                words = pa.concat_arrays([words.cast(pa.string()), pa.array([word_contexts.TEXT_END.decode()])])
+                times = np.append(times.to_numpy(), len(texts))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(found), pa.binary()), pa.array(0 * times if out else times), pa.array(times)],
+                    [words.view(pa.binary()), pa.array(0 * times if out else times), pa.array(times)],
                     ["word", "learned", "every"],
                 )
 
-        for batch in batches:
-            for text, out in zip(batch.column("text"), _column(batch, "held_out")):
-                kinds[out].update(tokens(text.as_py()))
-                if len(kinds[True]) + len(kinds[False]) > HELD_WORDS:
-                    yield from told()
-                    kinds = {True: Counter(), False: Counter()}
-        yield from told()
-
     found = rows.select("text", "held_out").mapInArrow(counted, "word binary, learned long, every long")
     return found.groupBy("word").agg(F.sum("learned").alias("learned"), F.sum("every").alias("every"))
 
 
-TABLE_SCHEMA = "predictor int, chunk int, counts binary"
+TABLE_SCHEMA = "predictor int, chunk int, cells int, counts binary"
+
 
+def packed(counts: np.ndarray) -> bytes:
+    """Whole numbers, in four bytes each where that holds them: the size, then what zstd makes of them."""
+    kind = np.int32 if counts.max(initial=0) < 1 << 31 else np.int64
+    return bytes([np.dtype(kind).itemsize]) + pa.Codec("zstd", 1).compress(counts.astype(kind).tobytes(), asbytes=True)
 
-def told_tables(tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Tables of fixed size in chunks."""
-    for order, table in enumerate(tables):
+
+def unpacked(blob: bytes, size: int) -> np.ndarray:
+    found = pa.Codec("zstd").decompress(blob[1:], size * blob[0])
+    return np.frombuffer(found, np.int32 if blob[0] == 4 else np.int64)
+
+
+def told_tables(tables: list[np.ndarray], first: int = 0) -> Iterator[pa.RecordBatch]:
+    """Tables of fixed size in chunks; first: the number of the first one."""
+    for order, table in enumerate(tables, first):
         for chunk, at in enumerate(range(0, len(table), 2 << CHUNK)):
-            blob = zlib.compress(table[at : at + (2 << CHUNK)].astype(np.int64).tobytes(), 1)
+            part = table[at : at + (2 << CHUNK)]
             yield pa.RecordBatch.from_pydict(
-                {"predictor": pa.array([order], pa.int32()), "chunk": pa.array([chunk], pa.int32()), "counts": pa.array([blob], pa.binary())}
+                {"predictor": pa.array([order], pa.int32()), "chunk": pa.array([chunk], pa.int32()),
+                 "cells": pa.array([len(part)], pa.int32()), "counts": pa.array([packed(part)], pa.binary())}
             )
 
 
@@ -220,15 +272,16 @@ def summed_tables(found: DataFrame, cells: list[int], label: str) -> list[np.nda
     """The sum of the tasks' tables, (slots, 2) each; their size is what reaches the driver."""
 
     def added(parts: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(blob), np.int64) for blob in parts["counts"])
-        return parts.iloc[:1].assign(counts=[zlib.compress(total.tobytes(), 1)])
+        total = np.zeros(int(parts["cells"].iloc[0]), np.int64)
+        for blob in parts["counts"]:
+            total += unpacked(blob, len(total))
+        return parts.iloc[:1].assign(counts=[packed(total)])
 
     found = found.groupBy("predictor", "chunk").applyInPandas(added, TABLE_SCHEMA)
     tables = [np.zeros(size, np.float32) for size in cells]
     for row in settle(found, label).toLocalIterator():
-        part = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
         at = row["chunk"] * (2 << CHUNK)
-        tables[row["predictor"]][at : at + len(part)] = part
+        tables[row["predictor"]][at : at + row["cells"]] = unpacked(bytes(row["counts"]), row["cells"])
     return [table.reshape(-1, 2) for table in tables]
 
 
@@ -250,12 +303,14 @@ def learn_counts(words: DataFrame) -> list[np.ndarray]:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.zeros(2 << power) for power in SLOTS]
         some = False
-        for batch in batches:
+        for batch in grouped(batches):
             names, times = _column(batch, "word"), batch.column("learned").to_numpy()
+            order = sorted(range(len(names)), key=names.__getitem__)  # beginnings in common stand together
+            names, times = [names[n] for n in order], times[order]
             for low, high in blocks(names, BLOCK):
                 some = True
-                bits = Bits(names[low:high])
-                weight = np.repeat(times[low:high][bits.word], 8).astype(float)
+                bits = Bits(names[low:high], shared=True)
+                weight = np.repeat(np.bincount(bits.of, times[low:high][bits.word], len(bits.at)), 8)
                 for table, slots in zip(tables, bits.slots):
                     np.add.at(table, (slots * 2 + bits.bits).ravel(), weight)
         if some:
@@ -291,35 +346,91 @@ def learn_mixer(words: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
     return weights.astype(np.float32), table.reshape(-1, 2)
 
 
-def learn_contexts(texts: DataFrame, code) -> list[np.ndarray]:
-    """Counts of the code's bits in the contexts of all training texts."""
+READ_SCHEMA = (
+    "row long, doc_id long, held_out boolean, word binary, n long, size long, known long, base double, "
+    "rows binary, starts binary, numbers binary, hashes binary"
+)
+READ_KINDS = [
+    pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(),
+    pa.binary(), pa.binary(), pa.binary(), pa.binary(),
+]
+READ_NAMES = [column.split()[0] for column in READ_SCHEMA.split(", ")]
+
+
+def read_texts(rows: DataFrame, code, hot_base: np.ndarray) -> DataFrame:
+    """Three kinds of rows, so that texts are cut into words once.
+
+    A row a text with what its frequent words settle; a row a text and word
+    behind an escape (word, n); a row for some texts together (rows, starts,
+    numbers, hashes), all held out or none, which the passes over words read.
+    """
+
+    def told(many: int, **given) -> pa.RecordBatch:
+        columns = [given.get(name) for name in READ_NAMES]
+        columns = [pa.nulls(many) if c is None else c for c in columns]
+        columns = [c.cast(k) if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, READ_KINDS)]
+        return pa.RecordBatch.from_arrays(columns, READ_NAMES)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for out in (True, False):
+                chosen = batch.filter(pc.equal(batch.column("held_out"), out))
+                for first, texts in word_contexts.slices(chosen.column("text")):
+                    ids, docs = (chosen.column(c).slice(first, len(texts)) for c in ("row", "doc_id"))
+                    found = code.value.read_texts(texts)
+                    pairs, times = np.unique(found.far_text * len(found.far) + found.far_word, return_counts=True)
+                    if len(pairs):
+                        of, word = np.divmod(pairs, len(found.far))
+                        yield told(len(pairs), row=ids.take(pa.array(of)), word=found.far.take(pa.array(word)), n=times)
+                    start = found.start
+                    known = np.add.reduceat((found.numbers != code.value.escape).astype(np.int64), start[:-1])
+                    base = np.add.reduceat(hot_base[found.numbers], start[:-1])
+                    yield told(len(texts), row=ids, doc_id=docs, held_out=[out] * len(texts), n=np.diff(start),
+                               size=found.sizes, known=known, base=base)
+                    numbers, hashes = code.value.written(found)
+                    yield told(1, held_out=[out], rows=[ids.to_numpy().tobytes()], starts=[start.astype(np.int64).tobytes()],
+                               numbers=[numbers], hashes=[hashes])
+
+    return settle(rows.mapInArrow(read, READ_SCHEMA), "lm-read")
+
+
+def read_again(batches: Iterator[pa.RecordBatch], code) -> Iterator[tuple[np.ndarray, list]]:
+    """(row numbers, texts as numbers and hashes) of some texts together."""
+    for batch in batches:
+        for rows, starts, numbers, hashes in zip(*(batch.column(c) for c in ("rows", "starts", "numbers", "hashes"))):
+            start = np.frombuffer(starts.as_py(), np.int64)
+            found = code.unwritten(numbers.as_py(), hashes.as_py(), int(start[-1]))
+            yield np.frombuffer(rows.as_py(), np.int64), list(word_contexts.texts(*found, start))
+
+
+def learn_contexts(lessons: DataFrame, code) -> list[np.ndarray]:
+    """Counts of the code's bits, alone and in the contexts of all training texts."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.zeros(size, np.int32) for size in code.value.sizes]
+        tables = [np.zeros(size, np.int32) for size in code.value.sizes[1:]]
         some = False
-        for batch in batches:
-            read = (code.value.read(tokens(text.as_py())) for text in batch.column("text"))
-            for steps in word_contexts.blocks(code.value, read):
-                some = True
-                word_contexts.add(tables, steps)
+        texts = (text for _, texts in read_again(batches, code.value) for text in texts)
+        for steps in word_contexts.blocks(code.value, texts):
+            some = True
+            word_contexts.add(tables, steps, 1)
         if some:
-            yield from told_tables(tables)
+            yield from told_tables(tables, 1)
 
-    found = texts.mapInArrow(counted, TABLE_SCHEMA)
-    return [word_contexts.short(table) for table in summed_tables(found, code.value.sizes, "lm-contexts")]
+    tables = summed_tables(lessons.mapInArrow(counted, TABLE_SCHEMA), code.value.sizes, "lm-contexts")
+    return [word_contexts.short(table) for table in [code.value.alone, *tables[1:]]]
 
 
-def learn_context_weights(texts: DataFrame, code, counts) -> np.ndarray:
+def learn_context_weights(lessons: DataFrame, code, counts) -> np.ndarray:
     """Weights of the predictors over words, averaged over the tasks by their bits."""
 
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = (code.value.read(tokens(text.as_py())) for batch in batches for text in batch.column("text"))
-        weights, share = word_contexts.train(counts.value, code.value, read)
+        texts = (text for _, texts in read_again(batches, code.value) for text in texts)
+        weights, share = word_contexts.train(counts.value, code.value, texts)
         values = np.concatenate([[float(share)], share * weights.ravel().astype(float)])
         yield pa.RecordBatch.from_pydict({"place": np.arange(len(values)), "value": values})
 
     first = word_contexts.first_weights()
-    sums = summed_places(texts.mapInArrow(trained, "place long, value double"), 1 + first.size)
+    sums = summed_places(lessons.mapInArrow(trained, "place long, value double"), 1 + first.size)
     return (sums[1:].reshape(first.shape) / sums[0]).astype(np.float32) if sums[0] else first
 
 
@@ -363,8 +474,10 @@ def score_texts(
     weights, table = learn_mixer(words, counts)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = word_scores(counts.value, weights, table, _column(batch, "word"))
+        tables = []
+        for batch in grouped(batches):
+            tables = tables or [stretched(held, order, 0) for order, held in enumerate(counts.value)]
+            score = word_scores(counts.value, weights, table, _column(batch, "word"), tables)
             base = np.log10((batch.column("learned").to_numpy() + 0.5) / (n + 0.5 * (v + 1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("word"), batch.column("learned"), batch.column("every"), pa.array(base), pa.array(score)],
@@ -380,61 +493,32 @@ def score_texts(
     hot, times = [bytes(r["word"]) for r in top], [r["learned"] for r in top]
     code = spark.sparkContext.broadcast(word_contexts.Code(hot, times, n - sum(times)))
     hot_base = np.append(np.log10((np.array(times) + 0.5) / (n + 0.5 * (v + 1))), 0.0)
-    lessons = rows.where(~F.col("held_out")).select("text")
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")
+    parts = read_texts(numbered, code, hot_base)
+    together = parts.where("numbers IS NOT NULL").select("held_out", "rows", "starts", "numbers", "hashes")
+    lessons = together.where("NOT held_out").drop("held_out")
     contexts = spark.sparkContext.broadcast(learn_contexts(lessons, code))
     context_weights = learn_context_weights(lessons, code, contexts)
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row", "doc_id", "held_out", "word", "n", "size", "known", "base", "score"]
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        escape = code.value.escape
-
-        def told(columns: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-        def told_far(at: list[int], many: list[int], words: list[bytes], times: list[int]) -> pa.RecordBatch:
-            none, zero = [None] * len(words), np.zeros(len(words))
-            whole = zero.astype(np.int64)
-            return told([np.repeat(at, many), none, none, words, times, whole, whole, zero, zero])
-
-        for batch in batches:
-            at, many, far, far_times = [], [], [], []
-            read, sizes = [], []
-            ids = _column(batch, "row")
-            for row, text in zip(ids, batch.column("text")):
-                found = tokens(text.as_py())
-                numbers, hashes = code.value.read(found)
-                rare = Counter(found[place] for place in np.flatnonzero(numbers == escape))
-                read.append((numbers, hashes))
-                sizes.append(sum(map(len, found)) + len(found))
-                far += rare
-                far_times += rare.values()
-                at.append(row)
-                many.append(len(rare))
-                if len(far) > 100_000:
-                    yield told_far(at, many, far, far_times)
-                    at, many, far, far_times = [], [], [], []
-            if far:
-                yield told_far(at, many, far, far_times)
-            if read:
-                score = word_contexts.score(contexts.value, context_weights, code.value, read)
-                known = [int((numbers != escape).sum()) for numbers, _ in read]
-                base = [float(hot_base[numbers].sum()) for numbers, _ in read]
-                lengths = [len(numbers) for numbers, _ in read]
-                docs, outs = _column(batch, "doc_id"), _column(batch, "held_out")
-                yield told([ids, docs, outs, [None] * len(ids), lengths, sizes, known, base, score])
-
-    schema = "row long, doc_id long, held_out boolean, word binary, n long, size long, known long, base double, score double"
-    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")
-    parts = settle(numbered.mapInArrow(summed, schema), "lm-parts")
-    rest = parts.where("word IS NOT NULL").select("row", "word", "n").join(costs, "word")
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in read_again(batches, code.value):
+            score = word_contexts.score(contexts.value, context_weights, code.value, texts)
+            yield pa.RecordBatch.from_pydict({"row": rows, "score": score})
+
+    coded = together.drop("held_out").mapInArrow(follow, "row long, score double")
+    sums = ["n", "size", "known", "base", "score"]
+    empty = {c: F.lit(0).cast("double" if c in ("base", "score") else "long") for c in sums}
+    none = {"doc_id": F.lit(None).cast("long"), "held_out": F.lit(None).cast("boolean")}
+    coded = coded.select("row", *(v.alias(c) for c, v in none.items()), *(empty[c].alias(c) for c in sums[:-1]), "score")
+    # a word has one row of costs, so that no partition's table of them grows with a frequent word
+    rest = parts.where("word IS NOT NULL").select("row", "word", "n").join(costs.hint("shuffle_hash"), "word")
     rest = rest.select(
-        "row", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"),
-        F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("size"),
+        "row", *(v.alias(c) for c, v in none.items()), empty["n"].alias("n"), empty["size"].alias("size"),
         F.when(F.col("learned") > 0, F.col("n")).otherwise(0).alias("known"),
         (F.col("n") * F.col("base")).alias("base"), (F.col("n") * F.col("score")).alias("score"),
     )
-    whole = parts.where("word IS NULL").drop("word").unionByName(rest)
+    texts = parts.where("size IS NOT NULL").select("row", "doc_id", "held_out", *sums[:-1], empty["score"].alias("score"))
+    whole = texts.unionByName(coded).unionByName(rest)
     return (
         whole.groupBy("row")
         .agg(

@@ -2,10 +2,12 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from statement_lake.llm import language_model as lm
@@ -110,3 +112,59 @@ def test_words_are_coded_as_a_distribution(monkeypatch):
     whole = wc.score(counts, weights, code, read)
     monkeypatch.setattr(wc, "BLOCK_TOKENS", 3)
     assert np.allclose(wc.score(counts, weights, code, read), whole)
+
+
+@pytest.mark.parametrize("hot", [0, 2, 50])
+def test_texts_are_read_as_their_words(hot):
+    texts = [(text or "").encode() for _, text in ODD] + [b"\xff\xfe THE the", b"a  b\x85c "] * 3
+    plain_words = [[*text.lower().split(), b"\n"] for text in texts]
+    counts = Counter(word for words in plain_words for word in words).most_common(hot)
+    code = wc.Code([w for w, _ in counts], [n for _, n in counts], 3)
+    column = pa.array(texts, pa.binary()).slice(1)
+    far, at = Counter(), 0
+    for first, some in wc.slices(column, 60_000):
+        assert first == at
+        read = code.read_texts(some)
+        again = code.unwritten(*code.written(read), len(read.numbers))
+        for text, (numbers, hashes) in enumerate(wc.texts(*again, read.start)):
+            expected = code.read(plain_words[1 + first + text])
+            assert (numbers == expected[0]).all() and (hashes == expected[1]).all()
+            assert read.sizes[text] == sum(map(len, plain_words[1 + first + text])) + len(numbers)
+        words = read.far.view(pa.binary()).to_pylist()
+        far.update((first + t, words[w]) for t, w in zip(read.far_text.tolist(), read.far_word.tolist()))
+        at += len(some)
+    assert at == len(column)
+    known = {w for w, _ in counts}
+    assert far == Counter((t, w) for t, words in enumerate(plain_words[1:]) for w in words if w not in known)
+
+
+def test_beginnings_in_common_are_scored_once():
+    words = sorted({f"{a}{b}{c}".encode() for a in ("pre", "un", "") for b in "abcdefgh" for c in ("ing", "ed", "é")})
+    whole, once = lm.Bits(words), lm.Bits(words, shared=True)
+    assert len(once.at) < 0.6 * len(whole.at)
+    assert (once.bits[once.of] == whole.bits).all() and (once.at[once.of] == whole.at).all()
+    assert all((a[once.of] == b).all() for a, b in zip(once.slots, whole.slots))
+
+
+def test_bits_are_counted_in_little_time():
+    """Counting the bits took most of the whole query's time."""
+    words = [b"w%d" % i for i in range(3000)]
+    code = wc.Code(words, [3000 // (i + 1) + 1 for i in range(3000)], 3)
+    rng = np.random.default_rng(5)
+    steps = [*wc.blocks(code, [code.read([words[i] for i in rng.integers(0, 3000, 40_000)])])]
+    best = {}
+    for name, one in (("mine", None), ("plain", 1)):
+        for _ in range(3):
+            tables = [np.zeros(size, np.int32) for size in code.sizes]
+            began = time.thread_time()
+            for some in steps:
+                if one is None:
+                    wc.add(tables, some)
+                else:
+                    for table, cells in zip(tables, some.cells):
+                        np.add.at(table, cells.astype(np.int64), one)
+            took = time.thread_time() - began
+            best[name] = min(best.get(name, took), took)
+        best[name + "_sums"] = [int(table.sum()) for table in tables]
+    assert best["mine_sums"] == best["plain_sums"]
+    assert best["mine"] < 0.7 * best["plain"]
