@@ -12,6 +12,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ BUCKET_ROWS = 50_000
 WORD_BYTES = 64
 
 #: Words of plain Latin characters: lower case and composition are letter by letter there.
-PLAIN = re.compile("[\x21-\x7e\xa1-\xff]+")
+PLAIN, UNPLAIN = re.compile("[\x21-\x7e\xa1-\xff]+"), re.compile("[^\n\x21-\x7e\xa1-\xff]")
 #: The rules of a tokenizer file under which words can be encoded one by one (fixed values).
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
@@ -37,8 +38,8 @@ LINE_PART = regex.compile(r"\n|" + WORD_RULE)
 #: Between the ids of words: no four bytes of ids are all ones, as ids are below 2^24.
 END_OF_WORD = b"\xff\xff\xff\xff"
 BLANK = re.compile(rb"[\x20\t-\r]")
-#: Bytes of text whose words are looked up together.
-STRETCH = 1 << 17
+#: Bytes of text that a stretch has, and those whose words are looked up together.
+STRETCH, TOGETHER = 1 << 17, 1 << 22
 
 
 class Remembered:
@@ -125,10 +126,14 @@ class Encoder:
 
     def _learn(self, words: list[bytes]) -> list[bytes]:
         """Remember the ids of new words; returns those that should be forgotten again."""
-        shown = [word.decode() for word in words]
-        simple = [len(w) <= WORD_BYTES and bool(PLAIN.fullmatch(w)) for w in shown]
+        text = b"\n".join(words).decode()
+        shown = text.split("\n")
+        if UNPLAIN.search(text):
+            simple = [len(w) <= WORD_BYTES and (w.isascii() and w.isprintable() or bool(PLAIN.fullmatch(w))) for w in shown]
+        else:
+            simple = [len(w) <= WORD_BYTES for w in shown]
         for token in self.added:
-            if any(token in w for w in shown):
+            if token in text:
                 simple = [plain and token not in w for plain, w in zip(simple, shown)]
         plain = list(compress(words, simple))
         other = [n for n, is_plain in enumerate(simple) if not is_plain]
@@ -157,13 +162,21 @@ class Encoder:
         if not self.word_by_word:
             return self._whole([text.decode() for text in texts])
         found: list[list[bytes]] = [[] for _ in texts]
-        for some in stretches(texts):
-            words = [(number, part.split()) for number, part in some]
-            new = self.words.absent({w for _, listed in words for w in listed})
+        for some in stretches(texts, TOGETHER):
+            # each distinct word is looked up once; Arrow tells the words apart and lays their ids side by side
+            parts = pa.array([part for _, part in some], pa.large_binary())
+            lists = pc.ascii_split_whitespace(parts.view(pa.large_string()))
+            coded = lists.flatten().dictionary_encode()
+            words = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+            new = self.words.absent(set(words) - {b""})  # blanks at either end leave an empty word there
             long = self._learn(new) if new else []
             held = self.words.young
-            for number, listed in words:
-                found[number].append(b"".join([held[w] for w in listed]))
+            held[b""] = b""
+            ids = pa.array([held[w] for w in words], pa.large_binary()).take(coded.indices)
+            bounds = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[lists.offsets.to_numpy()].tolist()
+            data = memoryview(ids.buffers()[2] or b"")
+            for (number, _), low, high in zip(some, bounds, bounds[1:]):
+                found[number].append(data[low:high])
             for word in long:
                 del held[word]
             self.words.age()

@@ -143,3 +143,14 @@ def test_remembered_bytes_do_not_change_pieces(spark):
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert little.select(columns).exceptAll(much.select(columns)).count() == 0 and little.count() == much.count()
     assert packing.encoder(PATH, 1 << 10).remembered == 1 << 10
+
+
+def test_words_are_looked_up_once_for_many_texts():
+    held = packing.Encoder(PATH)
+    asked, absent = [], held.words.absent
+    held.words.absent = lambda keys: asked.extend(keys) or absent(keys)
+    texts = [b" alpha Beta " * 60_000, b"", b"\n", b"beta alpha\tBeta" * 20_000]
+    found = held.ids(texts)
+    plain = held.tokenizer.encode_batch([text.decode() for text in texts], add_special_tokens=False)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [one.ids for one in plain]
+    assert sorted(asked) == sorted({word for text in texts for word in text.split()})
