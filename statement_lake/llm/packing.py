@@ -38,8 +38,9 @@ LINE_PART = regex.compile(r"\n|" + WORD_RULE)
 #: Between the ids of words: no four bytes of ids are all ones, as ids are below 2^24.
 END_OF_WORD = b"\xff\xff\xff\xff"
 BLANK = re.compile(rb"[\x20\t-\r]")
-#: Bytes of text that a stretch has, and those whose words are looked up together.
-STRETCH, TOGETHER = 1 << 17, 1 << 22
+#: Bytes of text that a stretch has, and of what a worker remembers the share whose words are looked up together:
+#: Arrow's columns of those words take some ten times the text.
+STRETCH, TOGETHER = 1 << 17, 1 / 32
 
 
 class Remembered:
@@ -81,6 +82,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.path, self.remembered = path, remembered
+        self.together = max(STRETCH, int(remembered * TOGETHER))
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
@@ -162,7 +164,7 @@ class Encoder:
         if not self.word_by_word:
             return self._whole([text.decode() for text in texts])
         found: list[list[bytes]] = [[] for _ in texts]
-        for some in stretches(texts, TOGETHER):
+        for some in stretches(texts, self.together):
             # each distinct word is looked up once; Arrow tells the words apart and lays their ids side by side
             parts = pa.array([part for _, part in some], pa.large_binary())
             lists = pc.ascii_split_whitespace(parts.view(pa.large_string()))
@@ -214,7 +216,7 @@ def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     return _encoder
 
 
-def groups(column: pa.Array, size: int = 64 * STRETCH) -> Iterator[tuple[int, list[bytes]]]:
+def groups(column: pa.Array, size: int) -> Iterator[tuple[int, list[bytes]]]:
     """(number of the first, texts): a batch's texts, some `size` bytes at a time."""
     texts, held, first = [], 0, 0
     for number, text in enumerate(column):
@@ -240,7 +242,7 @@ def pieces(
         for batch in batches:
             rows: list[tuple] = []
             docs = batch.column("doc_id").to_pylist()
-            for first, texts in groups(batch.column("text")):
+            for first, texts in groups(batch.column("text"), 2 * held.together):
                 for doc, found in zip(docs[first : first + len(texts)], encode(texts)):
                     ids = found + end
                     for number, at in enumerate(range(0, len(ids), 4 * length)):

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -154,3 +155,21 @@ def test_words_are_looked_up_once_for_many_texts():
     plain = held.tokenizer.encode_batch([text.decode() for text in texts], add_special_tokens=False)
     assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [one.ids for one in plain]
     assert sorted(asked) == sorted({word for text in texts for word in text.split()})
+
+
+def test_little_memory_where_little_is_remembered():
+    """In the pipeline, columns of the words of 4 MB of text at once took an executor over its memory."""
+    texts = [" ".join(f"word{i % 5000} the{i % 7}" for i in range(at, at + 20_000)).encode() for at in range(0, 10**6, 20_000)]
+    before, column = pa.default_memory_pool(), pa.array(texts)
+    found, peak = {}, {}
+    for remembered in (packing.REMEMBERED, 32 << 20):
+        held, pool = packing.Encoder(PATH, remembered), pa.proxy_memory_pool(before)
+        pa.set_memory_pool(pool)
+        try:
+            some = (held.ids(part) for _, part in packing.groups(column, 2 * held.together))
+            found[remembered] = sum(len(ids) for part in some for ids in part)
+        finally:
+            pa.set_memory_pool(before)
+        peak[remembered] = pool.max_memory()
+    assert found[packing.REMEMBERED] == found[32 << 20]
+    assert peak[32 << 20] < 0.4 * peak[packing.REMEMBERED], peak
