@@ -181,22 +181,29 @@ class Steps:
         begin = code.start.take(numbers)
         sizes = code.start.take(numbers + 1) - begin
         first = np.cumsum(sizes) - sizes
-        word = np.repeat(np.arange(len(numbers)), sizes)
-        step = np.arange(len(word)) + (begin - first).take(word)
+        self.code = code
+        #: Of each bit its number among the steps of the code.
+        self.step = np.repeat(begin - first, sizes)
+        self.step += np.arange(len(self.step))
         #: Numbers of the texts, and the first step of each.
-        changed = np.flatnonzero(np.diff(text, prepend=-1)) if len(step) else np.zeros(0, np.int64)
+        changed = np.flatnonzero(np.diff(text, prepend=-1)) if len(self.step) else np.zeros(0, np.int64)
         self.texts, self.first = text[changed], first[changed]
         one = (one.astype(np.uint64) + np.uint64(1)) * np.uint64(ODD)
         two = (two.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F) ^ (one >> np.uint64(17)) ^ one
-        offset = code.offsets.take(step)
+        offset = code.offsets.take(self.step)
         #: Two cells a slot, the second one for bits that are one.
-        self.cells = [code.nodes.take(step)]
+        self.near = []
         for context in (one, two):
             key = (context ^ (context >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
             key = (key ^ (key >> np.uint64(31))) * np.uint64(ODD)
             slot = (key >> np.uint64(64 - code.power)).astype(np.int32)
-            self.cells.append((slot * np.int32(2)).take(word) ^ offset)
-        self.bits = self.cells[0] & np.int32(1)
+            self.near.append(np.repeat(slot * np.int32(2), sizes) ^ offset)
+        self.bits = offset & np.int32(1)
+
+    @property
+    def cells(self) -> list[np.ndarray]:
+        """Of all predictors; that of the words alone has the cells of the code's steps."""
+        return [self.code.nodes.take(self.step), *self.near]
 
 
 def blocks(code: Code, texts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[Steps]:
@@ -222,7 +229,7 @@ def blocks(code: Code, texts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterat
 
 def add(tables: list[np.ndarray], steps: Steps, first: int = 0) -> None:
     """Count the bits in their cells, from this predictor on."""
-    for table, cells in zip(tables, steps.cells[first:]):
+    for table, cells in zip(tables, steps.near if first else steps.cells):
         # ones of the table's own type: numpy takes a slow way round for others
         np.add.at(table, cells.astype(np.int64), np.ones(len(cells), table.dtype))
 
@@ -255,32 +262,34 @@ def stretched(both: np.ndarray, own: int) -> np.ndarray:
 _ready: tuple[list, int, list] | None = None
 
 
-def ready(counts: list[np.ndarray], own: int) -> list[np.ndarray]:
-    """stretched of all predictors; this worker holds those of the counts last asked for."""
+def ready(counts: list[np.ndarray], own: int, code: Code) -> list[np.ndarray]:
+    """stretched of all predictors, of the first one by the code's steps; this worker holds those last asked for."""
     global _ready
     if _ready is None or _ready[0] is not counts or _ready[1] != own:
         _ready = None
-        _ready = counts, own, [stretched(both, own) for both in counts]
+        alone, *tables = [stretched(both, own) for both in counts]
+        _ready = counts, own, [alone.take(code.nodes if own else code.nodes >> 1), *tables]
     return _ready[2]
 
 
 def inputs(tables: list[np.ndarray], steps: Steps, own: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """(stretched predictions, gates) of the bits; own: tables without the bit itself."""
-    x, gates = [], 0
-    for i, cells in enumerate(steps.cells):
-        found = tables[i].take(cells if own else cells >> np.int32(1))
-        x.append(found * GRAIN - WIDEST)  # the level stays in the last two bits, far below what counts
-        if i:
-            gates = gates * np.uint16(4) + (found & np.uint16(3))
-    return x, gates.astype(np.int64)
+    """(stretched predictions in grains, gates) of the bits; own: tables without the bit itself."""
+    # the level stays in the last two bits, far below what counts
+    x = [tables[0].take(steps.step)]
+    x += [table.take(cells if own else cells >> np.int32(1)) for table, cells in zip(tables[1:], steps.near)]
+    return x, (x[1] & np.uint16(3)) * np.uint16(4) + (x[2] & np.uint16(3))
 
 
 def mixed(weights: np.ndarray, x: list[np.ndarray], gates: np.ndarray) -> np.ndarray:
     """The stretched probability that a bit is one."""
-    columns = np.ascontiguousarray(weights.T)
-    found = columns[-1].take(gates)
+    *columns, found = np.ascontiguousarray(weights.T)
+    gates = gates.astype(np.int64)
+    # grains are counted from -WIDEST: what that takes off and their size are worked into the weights, not the bits
+    found = (found - WIDEST * sum(columns)).take(gates)
     for column, given in zip(columns, x):
-        found += column.take(gates) * given
+        part = (column * GRAIN).take(gates)
+        part *= given
+        found += part
     return np.clip(found, -MOST, MOST, out=found)
 
 
@@ -289,13 +298,29 @@ def train(
 ) -> tuple[np.ndarray, int]:
     """(weights after one pass over the texts, bits); each bit is met as if it were new."""
     weights, speed, size = first_weights(), np.full((GATES, INPUTS), 1e-4), 0
-    tables = ready(counts, 1)
+    tables = ready(counts, 1, code)
     for steps in blocks(code, texts):
         x, gates = inputs(tables, steps, 1)
-        error = steps.bits.astype(np.float32) - 1 / (1 + np.exp(-mixed(weights, x, gates)))
-        total = np.bincount(gates, minlength=GATES)[:, None] + 1e-9
-        sums = [np.bincount(gates, error * given, GATES) for given in x]
-        slope = np.stack([*sums, np.bincount(gates, error, GATES)], axis=1) / total
+        # bits of a gate stand together, so that a gate's sums are products of matrices
+        order = gates.astype(np.uint8).argsort(kind="stable")
+        total = np.bincount(gates, minlength=GATES)
+        rows = np.ones((INPUTS, len(order)), np.float32)
+        for row, given in zip(rows, x):
+            np.multiply(given.take(order), GRAIN, out=row)
+            row -= WIDEST
+        ends = np.cumsum(total)
+        spans = [(gate, slice(end - many, end)) for gate, (end, many) in enumerate(zip(ends.tolist(), total.tolist())) if many]
+        error = np.empty(len(order), np.float32)
+        for gate, span in spans:
+            np.matmul(weights[gate], rows[:, span], out=error[span])
+        np.clip(error, -MOST, MOST, out=error)
+        np.exp(np.negative(error, out=error), out=error)
+        error += 1
+        np.subtract(steps.bits.take(order).astype(np.float32), np.reciprocal(error, out=error), out=error)
+        slope = np.zeros((GATES, INPUTS))
+        for gate, span in spans:
+            slope[gate] = rows[:, span] @ error[span]
+        slope /= total[:, None] + 1e-9
         speed += slope**2
         weights = weights + (SPEED * slope / np.sqrt(speed)).astype(np.float32)
         size += len(steps.bits)
@@ -307,11 +332,14 @@ def score(
 ) -> np.ndarray:
     """log10 probability of each text's words, up to how those behind an escape are spelled."""
     out = np.zeros(len(texts))
-    tables = ready(counts, 0)
+    tables = ready(counts, 0, code)
     for steps in blocks(code, texts):
         if len(steps.bits):
             x, gates = inputs(tables, steps, 0)
-            against = mixed(weights, x, gates) * (1 - 2 * steps.bits).astype(np.float32)
-            cost = np.log(1 + np.exp(against))
+            cost = mixed(weights, x, gates)
+            cost.view(np.int32)[:] ^= steps.bits << np.int32(31)  # the other sign where the bit is one
+            np.exp(cost, out=cost)
+            cost += 1
+            np.log(cost, out=cost)
             out[steps.texts] -= np.add.reduceat(cost, steps.first, dtype=np.float64) / np.log(10)
     return out

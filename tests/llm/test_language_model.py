@@ -168,3 +168,34 @@ def test_bits_are_counted_in_little_time():
         best[name + "_sums"] = [int(table.sum()) for table in tables]
     assert best["mine_sums"] == best["plain_sums"]
     assert best["mine"] < 0.7 * best["plain"]
+
+
+def test_weights_equal_plain_sums_by_gate_and_contexts_need_no_nodes():
+    """Looking up nodes that contexts do not need, and adding up gate by gate with bincount, took the query over its time."""
+    words = [b"w%d" % i for i in range(300)]
+    code = wc.Code(words, [3000 // (i + 1) + 1 for i in range(300)], 3)
+    rng = np.random.default_rng(7)
+    texts = [code.read([words[i] for i in rng.zipf(1.3, n) % 300]) for n in (0, 5, 9_000, 700)]
+    tables = [np.zeros(size, np.int32) for size in code.sizes]
+    for steps in wc.blocks(code, texts):
+        wc.add(tables, steps)
+    alone, code.nodes = code.nodes, None
+    again = [np.zeros(size, np.int32) for size in code.sizes[1:]]
+    for steps in wc.blocks(code, texts):
+        wc.add(again, steps, 1)
+    code.nodes = alone
+    assert all((a == b).all() for a, b in zip(tables[1:], again))
+    counts = [wc.short(table.reshape(-1, 2)) for table in tables]
+    weights, speed, size = wc.first_weights(), np.full((wc.GATES, wc.INPUTS), 1e-4), 0
+    for steps in wc.blocks(code, texts):
+        found = [wc.stretched(both, 1)[cells] for both, cells in zip(counts, steps.cells)]
+        x = [*(says.astype(float) * wc.GRAIN - wc.WIDEST for says in found), np.ones(len(steps.bits))]
+        gates = (found[1] & 3) * 4 + (found[2] & 3)
+        raw = np.clip(sum(weights[gates, i] * given for i, given in enumerate(x)), -wc.MOST, wc.MOST)
+        error = steps.bits - 1 / (1 + np.exp(-raw))
+        total = np.bincount(gates, minlength=wc.GATES)[:, None] + 1e-9
+        slope = np.stack([np.bincount(gates, error * given, wc.GATES) for given in x], axis=1) / total
+        speed += slope**2
+        weights, size = weights + wc.SPEED * slope / np.sqrt(speed), size + len(steps.bits)
+    mine, bits = wc.train(counts, code, texts)
+    assert bits == size and np.allclose(mine, weights, atol=1e-4)
