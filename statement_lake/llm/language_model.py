@@ -6,7 +6,7 @@ those that are not frequent are spelled behind an escape, byte by byte.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -221,25 +221,45 @@ def grouped(batches: Iterator[pa.RecordBatch], size: int = HELD_WORDS) -> Iterat
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+Pass = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def released(function: Pass) -> Pass:
+    """The same pass; before it and after it the worker gives back what Arrow holds in reserve.
+
+    Workers are used again: what was kept of one pass would stand beside the tables of the next.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, learned, every) of the texts of each batch, held out or not."""
+    for batch in batches:
+        for out in (True, False):
+            texts = batch.column("text").filter(pc.equal(batch.column("held_out"), out))
+            if not len(texts):
+                continue
+            found = [word_contexts.split(some)[0] for _, some in word_contexts.slices(texts)]
+            words, times = pa.chunked_array(found).value_counts().flatten()
+            words = pa.concat_arrays([words.cast(pa.string()), pa.array([word_contexts.TEXT_END.decode()])])
+            times = np.append(times.to_numpy(), len(texts))
+            yield pa.RecordBatch.from_arrays(
+                [words.view(pa.binary()), pa.array(0 * times if out else times), pa.array(times)],
+                ["word", "learned", "every"],
+            )
+
+
 def count_words(rows: DataFrame) -> DataFrame:
     """(word, learned, every): how often each token occurs, in the training documents and in all."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for out in (True, False):
-                texts = batch.column("text").filter(pc.equal(batch.column("held_out"), out))
-                if not len(texts):
-                    continue
-                found = [word_contexts.split(some)[0] for _, some in word_contexts.slices(texts)]
-                words, times = pa.chunked_array(found).value_counts().flatten()
-                words = pa.concat_arrays([words.cast(pa.string()), pa.array([word_contexts.TEXT_END.decode()])])
-                times = np.append(times.to_numpy(), len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [words.view(pa.binary()), pa.array(0 * times if out else times), pa.array(times)],
-                    ["word", "learned", "every"],
-                )
-
-    found = rows.select("text", "held_out").mapInArrow(counted, "word binary, learned long, every long")
+    found = rows.select("text", "held_out").mapInArrow(
+        released(counted_words), "word binary, learned long, every long"
+    )
     return found.groupBy("word").agg(F.sum("learned").alias("learned"), F.sum("every").alias("every"))
 
 
@@ -293,6 +313,24 @@ def summed_places(found: DataFrame, size: int) -> np.ndarray:
     return sums
 
 
+class BitTables:
+    """Counts of bits in the slots of each predictor, two cells a slot; four bytes a cell as long as they must hold them."""
+
+    def __init__(self):
+        self.tables, self.most = [np.zeros(2 << power, np.int32) for power in SLOTS], 0
+
+    def add(self, words: list[bytes], times: np.ndarray) -> None:
+        bits = Bits(words, shared=True)
+        weight = np.repeat(np.bincount(bits.of, times[bits.word], len(bits.at)).astype(np.int64), 8)
+        self.most += int(weight.sum())  # no cell has more
+        if self.most >= 1 << 31 and self.tables[0].dtype == np.int32:
+            for n, table in enumerate(self.tables):
+                self.tables[n] = table.astype(np.int64)
+        weight = weight.astype(self.tables[0].dtype)  # numpy takes a slow way round for another type
+        for table, slots in zip(self.tables, bits.slots):
+            np.add.at(table, (slots * 2 + bits.bits).ravel(), weight)
+
+
 def learn_counts(words: DataFrame) -> list[np.ndarray]:
     """For each predictor (slots, 2) counts of bits, over all training words.
 
@@ -301,22 +339,18 @@ def learn_counts(words: DataFrame) -> list[np.ndarray]:
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [np.zeros(2 << power) for power in SLOTS]
-        some = False
+        held, some = BitTables(), False
         for batch in grouped(batches):
             names, times = _column(batch, "word"), batch.column("learned").to_numpy()
             order = sorted(range(len(names)), key=names.__getitem__)  # beginnings in common stand together
             names, times = [names[n] for n in order], times[order]
             for low, high in blocks(names, BLOCK):
                 some = True
-                bits = Bits(names[low:high], shared=True)
-                weight = np.repeat(np.bincount(bits.of, times[low:high][bits.word], len(bits.at)), 8)
-                for table, slots in zip(tables, bits.slots):
-                    np.add.at(table, (slots * 2 + bits.bits).ravel(), weight)
+                held.add(names[low:high], times[low:high])
         if some:
-            yield from told_tables(tables)
+            yield from told_tables(held.tables)
 
-    found = words.where("learned > 0").mapInArrow(counted, TABLE_SCHEMA)
+    found = words.where("learned > 0").mapInArrow(released(counted), TABLE_SCHEMA)
     return summed_tables(found, [2 << power for power in SLOTS], "lm-bits")
 
 
@@ -339,7 +373,7 @@ def learn_mixer(words: DataFrame, counts) -> tuple[np.ndarray, np.ndarray]:
             values = np.concatenate([[share], share * weights.ravel(), table.ravel()])
             yield pa.RecordBatch.from_pydict({"place": np.arange(len(values)), "value": values})
 
-    found = words.where("learned > 0").mapInArrow(trained, "place long, value double")
+    found = words.where("learned > 0").mapInArrow(released(trained), "place long, value double")
     sums = summed_places(found, 1 + GATES * (len(SLOTS) + 1) + GATES * CELLS * 2)
     total, weights, table = np.split(sums, [1, 1 + GATES * (len(SLOTS) + 1)])
     weights = weights.reshape(GATES, -1) / total if total[0] else first_weights()
@@ -391,7 +425,7 @@ def read_texts(rows: DataFrame, code, hot_base: np.ndarray) -> DataFrame:
                     yield told(1, held_out=[out], rows=[ids.to_numpy().tobytes()], starts=[start.astype(np.int64).tobytes()],
                                numbers=[numbers], hashes=[hashes])
 
-    return settle(rows.mapInArrow(read, READ_SCHEMA), "lm-read")
+    return settle(rows.mapInArrow(released(read), READ_SCHEMA), "lm-read")
 
 
 def read_again(batches: Iterator[pa.RecordBatch], code) -> Iterator[tuple[np.ndarray, list]]:
@@ -416,7 +450,7 @@ def learn_contexts(lessons: DataFrame, code) -> list[np.ndarray]:
         if some:
             yield from told_tables(tables, 1)
 
-    tables = summed_tables(lessons.mapInArrow(counted, TABLE_SCHEMA), code.value.sizes, "lm-contexts")
+    tables = summed_tables(lessons.mapInArrow(released(counted), TABLE_SCHEMA), code.value.sizes, "lm-contexts")
     return [word_contexts.short(table) for table in [code.value.alone, *tables[1:]]]
 
 
@@ -430,7 +464,7 @@ def learn_context_weights(lessons: DataFrame, code, counts) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"place": np.arange(len(values)), "value": values})
 
     first = word_contexts.first_weights()
-    sums = summed_places(lessons.mapInArrow(trained, "place long, value double"), 1 + first.size)
+    sums = summed_places(lessons.mapInArrow(released(trained), "place long, value double"), 1 + first.size)
     return (sums[1:].reshape(first.shape) / sums[0]).astype(np.float32) if sums[0] else first
 
 
@@ -485,7 +519,8 @@ def score_texts(
             )
 
     costs = settle(
-        words.mapInArrow(scored, "word binary, learned long, every long, base double, score double"), "lm-scores"
+        words.mapInArrow(released(scored), "word binary, learned long, every long, base double, score double"),
+        "lm-scores",
     )
     counts.destroy()  # the spelling costs are written; workers hold one model at a time
     known = words.where("learned > 0")
@@ -505,7 +540,7 @@ def score_texts(
             score = word_contexts.score(contexts.value, context_weights, code.value, texts)
             yield pa.RecordBatch.from_pydict({"row": rows, "score": score})
 
-    coded = together.drop("held_out").mapInArrow(follow, "row long, score double")
+    coded = together.drop("held_out").mapInArrow(released(follow), "row long, score double")
     sums = ["n", "size", "known", "base", "score"]
     empty = {c: F.lit(0).cast("double" if c in ("base", "score") else "long") for c in sums}
     none = {"doc_id": F.lit(None).cast("long"), "held_out": F.lit(None).cast("boolean")}

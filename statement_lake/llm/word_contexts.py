@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import weakref
 import zlib
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
@@ -259,16 +260,25 @@ def stretched(both: np.ndarray, own: int) -> np.ndarray:
     return found.ravel()
 
 
-_ready: tuple[list, int, list] | None = None
+_ready: tuple[weakref.ref, int, list] | None = None
+
+
+def _forget(gone: weakref.ref) -> None:
+    global _ready
+    if _ready is not None and _ready[0] is gone:
+        _ready = None
 
 
 def ready(counts: list[np.ndarray], own: int, code: Code) -> list[np.ndarray]:
-    """stretched of all predictors, of the first one by the code's steps; this worker holds those last asked for."""
+    """stretched of all predictors, of the first one by the code's steps; this worker holds those last asked for.
+
+    They go with the counts, as workers that are used again have no room for them beside other tables.
+    """
     global _ready
-    if _ready is None or _ready[0] is not counts or _ready[1] != own:
+    if _ready is None or _ready[0]() is not counts[-1] or _ready[1] != own:
         _ready = None
         alone, *tables = [stretched(both, own) for both in counts]
-        _ready = counts, own, [alone.take(code.nodes if own else code.nodes >> 1), *tables]
+        _ready = weakref.ref(counts[-1], _forget), own, [alone.take(code.nodes if own else code.nodes >> 1), *tables]
     return _ready[2]
 
 
