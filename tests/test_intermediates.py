@@ -6,8 +6,13 @@ import time
 
 from pyspark.sql import functions as F
 
+from statement_lake.operators import upsert
 from statement_lake.operators.registry import REGISTRY_SCHEMA, resolve
+from statement_lake.plans.lake import Lake
+from statement_lake.plans.pipeline import load_files
 from statement_lake.session import scratch_folder, settle, settled
+from statement_lake.sources import specs
+from tests.helpers import as_list, element, statement, write
 
 D = dt.date
 
@@ -52,3 +57,30 @@ def test_resolving_writes_open_rows_only(spark):
     assert spark.read.parquet(f"{scratch_folder(spark)}/{written}").count() == 2
     assert folders(spark, "moves") == set()
     assert sorted(map(repr, (r.map_to for r in found.collect()))) == ["'A'"] * 6 + ["None"]
+
+
+def trade(symbol, day, **more):
+    return element("Trade", accountId="U1", symbol=symbol, tradeDate=day, **more)
+
+
+def test_a_load_keeps_no_copies_of_its_rows(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    folder = write(tmp_path / "in", "a.xml", statement(trade("A", "20240102"), trade("A", "20240102"), trade("B", "20240103")))
+    write(tmp_path / "in", "b.xml", statement(trade("A", "20240102"), trade("C", "20240104", quantity="x")))
+    write(tmp_path / "in", "c.xml", statement(trade("A", "20240102")))
+    for _ in range(2):
+        assert load_files(lake, specs.TRADES, folder).status == "error"  # b.xml is held back
+        assert as_list(lake.bronze(specs.TRADES), "symbol") == [("A",), ("B",)]
+    quarantined = spark.read.option("recursiveFileLookup", "true").parquet(f"{lake.root}/quarantine")
+    assert as_list(quarantined, "symbol") == [("A",), ("A",), ("C",), ("C",)]
+    for label in ("ingest-trades", "batch-trades", "kept-trades"):
+        assert folders(spark, label) == set()
+
+
+def test_copies_of_the_last_file_stay_without_a_shuffle_of_whole_rows(spark):
+    rows = [("h", "f1", 1), ("h", "f2", 1), ("h", "f2", 1), ("k", "f1", 2), ("k", "f1", 2), (None, "f1", 3), (None, "f2", 3)]
+    batch = settle(spark.createDataFrame(rows, "h string, file_order string, value int"), "given")
+    last = upsert.last_file_copies(batch, "h", ["h", "value"])
+    assert as_list(last, "h", "value") == [("h", 1), ("h", 1), ("k", 2), ("k", 2), (None, 3)]
+    plan = last._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" not in plan
